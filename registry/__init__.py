@@ -1,8 +1,8 @@
 """The library's jobs bound to the driver's tables, each next to the SQL it must agree with."""
 
-from . import recommend
+from . import recommend, reports
 
-AREAS = [recommend]
+AREAS = [recommend, reports]
 
 
 def queries() -> dict:

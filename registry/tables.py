@@ -133,6 +133,124 @@ def recommend_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
+# --- reports ----------------------------------------------------------------------------------
+
+SQL["event_report"] = """
+    SELECT strftime(ts, '%Y%m%d') AS date, event_type AS "eventName",
+           CAST(json_extract_string(props, '$.k') AS DOUBLE) AS "eventCount"
+    FROM events"""
+SQL["page_report"] = """
+    SELECT strftime(DATE '2024-01-01' + CAST(page_id % 30 AS INTEGER), '%Y%m%d') AS date,
+           CASE WHEN url LIKE '%utm_source=feed%' THEN 'feed / cpc' WHEN url LIKE '%ref=x%' THEN '(direct) / (none)'
+                WHEN url LIKE '%#top' THEN '(not set)' ELSE 'search / organic' END AS "sessionSourceMedium",
+           url AS "pagePath", CAST(length(html) AS DOUBLE) AS "screenPageViews"
+    FROM pages"""
+SQL["channel_cost"] = """
+    SELECT CAST(l_shipdate AS DATE) AS date_dt, p_brand AS campaign,
+           CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(20,4)) AS ad_cost,
+           l_quantity AS impressions, CAST(l_linenumber AS DOUBLE) AS clicks
+    FROM lineitem JOIN part ON l_partkey = p_partkey"""
+SQL["organic_search"] = """
+    SELECT CAST(ts AS DATE) AS date, '/' || event_type AS page,
+           CAST(json_extract_string(props, '$.k') AS DOUBLE) AS impressions, CAST(event_id % 7 AS DOUBLE) AS clicks
+    FROM events"""
+SQL["company_user"] = """
+    SELECT c_custkey AS id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
+           lower(c_name) || '@example.com' AS email, c_nationkey AS company_id FROM customer"""
+SQL["company_order"] = "SELECT o_orderkey AS id, o_custkey AS created_by_id, CAST(o_orderdate AS DATE) AS created_dt FROM orders"
+SQL["company"] = "SELECT n_nationkey AS company_id, n_name AS name, n_regionkey AS industry_subcategory_id FROM nation"
+SQL["industry_subcategory"] = """
+    SELECT r_regionkey AS industry_subcategory_id, r_name AS industry_category_summarized_name FROM region"""
+SQL["company_order_shift"] = """
+    SELECT l_orderkey * 10 + l_linenumber AS company_order_shift_id, l_orderkey AS company_order_id,
+           l_partkey AS job_category_id, l_suppkey AS job_location_id FROM lineitem"""
+SQL["job_category"] = "SELECT p_partkey AS job_category_id FROM part"
+SQL["job_location"] = """
+    SELECT s_suppkey AS job_location_id, n_regionkey AS business_region_id
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+SQL["business_region"] = "SELECT r_regionkey AS business_region_id, r_name AS business_region_name FROM region"
+
+
+def report_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    events, lineitem = read(spark, d, "events"), read(spark, d, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    url = F.col("url")
+    return {
+        "event_report": events.select(
+            F.date_format("ts", "yyyyMMdd").alias("date"),
+            F.col("event_type").alias("eventName"),
+            key_count().cast("double").alias("eventCount"),
+        ),
+        "page_report": read(spark, d, "pages").select(
+            F.date_format(
+                F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int")), "yyyyMMdd"
+            ).alias("date"),
+            F.when(url.contains("utm_source=feed"), "feed / cpc")
+            .when(url.contains("ref=x"), "(direct) / (none)")
+            .when(url.endswith("#top"), "(not set)")
+            .otherwise("search / organic")
+            .alias("sessionSourceMedium"),
+            url.alias("pagePath"),
+            F.length("html").cast("double").alias("screenPageViews"),
+        ),
+        "channel_cost": lineitem.join(read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
+            F.col("l_shipdate").cast("date").alias("date_dt"),
+            F.col("p_brand").alias("campaign"),
+            (price * F.col("l_discount").cast("decimal(4,2)")).alias("ad_cost"),
+            F.col("l_quantity").alias("impressions"),
+            F.col("l_linenumber").cast("double").alias("clicks"),
+            F.try_divide(F.col("l_extendedprice"), F.col("l_linenumber")).alias("cpc"),
+        ),
+        "organic_search": events.select(
+            F.col("ts").cast("date").alias("date"),
+            F.concat(F.lit("/"), F.col("event_type")).alias("page"),
+            key_count().cast("double").alias("impressions"),
+            (F.col("event_id") % 7).cast("double").alias("clicks"),
+        ),
+    }
+
+
+def star_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    nation, region = read(spark, d, "nation"), read(spark, d, "region")
+    name = F.split("c_name", "#")
+    return {
+        "company_user": read(spark, d, "customer").select(
+            F.col("c_custkey").alias("id"),
+            F.get(name, F.lit(0)).alias("first_name"),
+            F.get(name, F.lit(1)).alias("last_name"),
+            F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+            F.col("c_nationkey").alias("company_id"),
+        ),
+        "company_order": read(spark, d, "orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("created_by_id"),
+            F.col("o_orderdate").cast("date").alias("created_dt"),
+        ),
+        "company": nation.select(
+            F.col("n_nationkey").alias("company_id"),
+            F.col("n_name").alias("name"),
+            F.col("n_regionkey").alias("industry_subcategory_id"),
+        ),
+        "industry_subcategory": region.select(
+            F.col("r_regionkey").alias("industry_subcategory_id"),
+            F.col("r_name").alias("industry_category_summarized_name"),
+        ),
+        "company_order_shift": read(spark, d, "lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("company_order_shift_id"),
+            F.col("l_orderkey").alias("company_order_id"),
+            F.col("l_partkey").alias("job_category_id"),
+            F.col("l_suppkey").alias("job_location_id"),
+        ),
+        "job_category": read(spark, d, "part").select(F.col("p_partkey").alias("job_category_id")),
+        "job_location": read(spark, d, "supplier")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .select(F.col("s_suppkey").alias("job_location_id"), F.col("n_regionkey").alias("business_region_id")),
+        "business_region": read(spark, d, "region").select(
+            F.col("r_regionkey").alias("business_region_id"), F.col("r_name").alias("business_region_name")
+        ),
+    }
+
+
 # --- assembling the SQL -----------------------------------------------------------------------
 
 

@@ -45,8 +45,9 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> tuple[int, list[str]]:
     out = []
     if len(got) != len(want):
         out.append(f"rows {len(got)} != {len(want)}")
-    only_got = [r for r in got if r not in set(want)]
-    only_want = [r for r in want if r not in set(got)]
+    got_set, want_set = set(got), set(want)
+    only_got = [r for r in got if r not in want_set]
+    only_want = [r for r in want if r not in got_set]
     if only_got or only_want or (got != want and not out):
         out.append(f"cols {cols}\n  spark only {only_got[:3]}\n  sql only   {only_want[:3]}")
     return len(got), out
