@@ -1,8 +1,8 @@
 """The library's jobs bound to the driver's tables, each next to the SQL it must agree with."""
 
-from . import recommend, reports
+from . import attribution, recommend, reports
 
-AREAS = [recommend, reports]
+AREAS = [recommend, reports, attribution]
 
 
 def queries() -> dict:

@@ -251,6 +251,73 @@ def star_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
+# --- touches ----------------------------------------------------------------------------------
+
+# Rule inputs by slot (event_id % 24), page URLs (% 13), referrers (% 7) and user agents (% 5).
+SLOT_SOURCE = ["awin", "braze", "meta", "facebook", "meta", "meta", "linkedin", "linkedin", None, "google-search",
+               None, "google-search", "instagram", "jobsora", None, None, "stepstone", "tiktok", "tiktok",
+               "test_radio", "newsletter", "", "AWIN", None]
+SLOT_CAMPAIGN = ["x", "x", "spring", "meta_spring", "meta_spring", "metaspring", "linkedin_q1", "q1", None, "pmax_de",
+                 None, "brand", "x", "x", None, None, "x", "x", "tiktok_x", "x", "x", None, "x", None]
+SLOT_REFERRER = [None, None, None, None, None, None, None, None, "linkedin", None, "google", None, None, None, "bing",
+                 None, None, None, None, None, None, "google", None, "ownsite"]
+URLS = [
+    "https://e.com/?gclid=1",
+    "https://e.com/jobs?utm_source=google&utm_medium=sem&utm_campaign=a+b",
+    "https://e.com/?utm_source=meta&utm_medium=pfm&utm_campaign=meta_q1&utm_content=ad%201",
+    "https://e.com/?utm_medium=cpm&fbclid=abc",
+    "https://e.com/?utm_source=stepstone&utm_medium=cpad&utm_term=t1",
+    "https://e.com/?utm_medium=cpc&utm_source=jobsora",
+    "https://e.com/x/y?utm_source=tiktok&utm_medium=organic#frag",
+    "https://e.com/",
+    "https://e.com?first_ref=partner&awc=55_1",
+    "https://e.com/?utm_source&utm_campaign=c%26d%3De",
+    "https://e.com/?gbraid=G-1&utm_source=awin&awc=77",
+    "https://e.com/?GCLID=2&utm_source=Instagram&utm_medium=organic",
+    "https://e.com/?utm_campaign=a%2Bb&utm_campaign=second&utm_content=",
+]
+REFERRERS = [None, "https://www.google.com/", "https://www.google.com/search?q=x", "https://www.bing.com/",
+             "android-app://com.google", "localhost/", "https://www.youtube.com/"]
+AGENTS = ["Mozilla/5.0 (Linux; ANDROID 14)", "Mozilla/5.0 (iPhone; CPU)", "Mozilla/5.0 (iPad)", "Mozilla/5.0 (X11)", None]
+DEVICES = ["android", "ios", "ios", "desktop", "desktop"]
+
+
+def by_index(values: list, index: Column) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int"))
+
+
+def sql_index(values: list, index: str) -> str:
+    texts = ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"list_extract(CAST([{texts}] AS VARCHAR[]), CAST({index} AS INTEGER) + 1)"
+
+
+SQL["touches"] = f"""
+    SELECT event_id, 'u' || user_id AS user_id, ts, {sql_index(SLOT_SOURCE, "event_id % 24")} AS utm_source,
+           {sql_index(SLOT_CAMPAIGN, "event_id % 24")} AS utm_campaign,
+           {sql_index(SLOT_REFERRER, "event_id % 24")} AS first_referrer, {sql_index(URLS, "event_id % 13")} AS url,
+           {sql_index(REFERRERS, "event_id % 7")} AS referrer, {sql_index(AGENTS, "event_id % 5")} AS user_agent
+    FROM events"""
+
+
+def touches_from(events: DataFrame) -> DataFrame:
+    slot = F.col("event_id") % 24
+    return events.select(
+        "event_id",
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
+        "ts",
+        by_index(SLOT_SOURCE, slot).alias("utm_source"),
+        by_index(SLOT_CAMPAIGN, slot).alias("utm_campaign"),
+        by_index(SLOT_REFERRER, slot).alias("first_referrer"),
+        by_index(URLS, F.col("event_id") % 13).alias("url"),
+        by_index(REFERRERS, F.col("event_id") % 7).alias("referrer"),
+        by_index(AGENTS, F.col("event_id") % 5).alias("user_agent"),
+    )
+
+
+def touches(spark: SparkSession, d: str) -> DataFrame:
+    return touches_from(read(spark, d, "events"))
+
+
 # --- assembling the SQL -----------------------------------------------------------------------
 
 
