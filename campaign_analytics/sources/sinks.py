@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from xml.sax.saxutils import quoteattr
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -20,20 +19,22 @@ def write_extract(df: DataFrame, path: str) -> None:
 
 
 def write_job_xml(df: DataFrame, path: str, publisher: str, publisher_url: str, built_at: str) -> None:
-    """Feed rows as XML ``source/job``, one complete document per written file.
+    """Feed rows as XML ``source/job`` under ``path/jobs``, one complete document per written file.
 
-    The three header values become attributes of the root element.
+    The three header values of the feed go to ``path/header`` as an XML document of their own,
+    since every file of a distributed write has its own root.
     """
     header = {"publisher": publisher, "publisherurl": publisher_url, "lastbuilddate": built_at}
-    root = "source " + " ".join(f"{name}={quoteattr(value)}" for name, value in header.items())
-    (
-        df.write.mode("overwrite")
-        .format("xml")
-        .option("rootTag", root)
-        .option("rowTag", "job")
-        .option("declaration", 'version="1.0" encoding="UTF-8"')
-        .save(path)
-    )
+    top = df.sparkSession.range(1).select(*[F.lit(value).alias(name) for name, value in header.items()])
+    for frame, tag in [(df, "job"), (top, "header")]:
+        folder = f"{path}/jobs" if tag == "job" else f"{path}/header"
+        frame.write.mode("overwrite").format("xml").option("rootTag", "source").option("rowTag", tag).save(folder)
+
+
+def read_published_xml(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """Jobs of a published feed, all fields as text."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    return spark.read.format("xml").option("rowTag", "job").schema(schema).load(f"{path}/jobs")
 
 
 def append_link_log(df: DataFrame, path: str) -> None:

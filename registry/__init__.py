@@ -1,8 +1,8 @@
 """The library's jobs bound to the driver's tables, each next to the SQL it must agree with."""
 
-from . import attribution, recommend, reports
+from . import attribution, experiments, feeds, links, people, recommend, reports, streams
 
-AREAS = [recommend, reports, attribution]
+AREAS = [recommend, reports, attribution, links, experiments, people, feeds, streams]
 
 
 def queries() -> dict:
