@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import hash_slot
 
-BUCKETS = 4096
+BUCKETS = 65_536
 
 
 def global_row_number(

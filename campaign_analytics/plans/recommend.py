@@ -201,11 +201,14 @@ def unfulfilled_revenue(
     sum of copies equals the sum times the number of talents, so both are aggregated first.
     ``parity=False`` leaves the factor out.
     """
-    due = shifts.where(within_days(F.col("shift_dt"), as_of, 0, days)).select(
-        "job_fk", "business_region", (F.col("ordered_revenue_value") - F.col("booked_revenue_value")).alias("gap")
+    gap = F.col("ordered_revenue_value") - F.col("booked_revenue_value")
+    per_job = (
+        shifts.where(within_days(F.col("shift_dt"), as_of, 0, days))
+        .groupBy("job_fk", "business_region")
+        .agg(F.sum(gap).alias("gap"))
     )
     per_fk = (
-        due.join(jobs, F.col("job_fk") == F.col("job_id"), "left")
+        per_job.join(jobs, F.col("job_fk") == F.col("job_id"), "left")
         .groupBy("business_region", "job_category_fk", "mandatory_include_tags")
         .agg(F.sum("gap").alias("gap"))
     )

@@ -158,7 +158,7 @@ ORACLE = {
         SQL,
     ),
     "split_in_half": with_tables(
-        """SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY h % 4096, c_custkey) <= count(*) OVER () // 2
+        """SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY h % 65536, c_custkey) <= count(*) OVER () // 2
         THEN 'A' ELSE 'B' END AS team FROM slots""",
         SQL,
     ),

@@ -167,7 +167,6 @@ def bonus_places(spark, d):
 
 def review_decisions(spark, d):
     """Turns of a conversation as successive actions on one review, an hour apart."""
-    hours = F.col("conv_id") * 37 + F.col("turn")
     edits = F.col("turn") % 2 == 0
     actions = read(spark, d, "conversations").select(
         F.col("conv_id").alias("review_id"),
@@ -176,7 +175,9 @@ def review_decisions(spark, d):
         F.col("text").alias("response"),
         F.when(edits, F.concat(F.lit("It's '"), "text")).alias("edited_response"),
         F.col("role").alias("approver"),
-        F.timestamp_seconds(F.lit(1704067200) + hours * 3600).alias("ts"),
+        F.expr(
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(conv_id * 37 + turn as int), 0, 0)"
+        ).alias("ts"),
     )
     return reviews.review_decisions(actions)
 

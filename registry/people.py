@@ -79,7 +79,7 @@ def _leads(spark, d):
         F.lit("Ja").alias("callback"),
         F.lit("zwei").alias("bedarf__c"),
         by_index(URLS, key % 13).alias("page_url"),
-        F.timestamp_micros(F.lit(1704067200000000) + key * 1001000).alias("ts"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, c_custkey * 1.001)").alias("ts"),
     )
 
 
@@ -189,7 +189,7 @@ ORACLE = {
         """
     SELECT 0 AS shard, seat // 50 AS batch_no, count(*) AS records,
            CAST(to_json({'external_ids': list(id ORDER BY seat)}) AS VARCHAR) AS payload
-    FROM (SELECT id, row_number() OVER (ORDER BY CAST('0x' || substr(sha256(id), 1, 8) AS BIGINT) % 4096, id) - 1 AS seat
+    FROM (SELECT id, row_number() OVER (ORDER BY CAST('0x' || substr(sha256(id), 1, 8) AS BIGINT) % 65536, id) - 1 AS seat
           FROM leaving) GROUP BY ALL""",
         SQL,
     ),

@@ -8,12 +8,11 @@ from campaign_analytics.streaming import jobs
 
 from . import attribution, experiments, feeds
 from .experiments import ATTRIBUTES, attributes_from
-from .tables import read, touches_from, ts_text
+from .tables import SCHEMAS, touches_from, ts_text
 
 
 def _events(spark, d):
-    schema = read(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(d)
 
 
 def _folders(spark, name):
