@@ -68,7 +68,8 @@ def stream_first_touch(
         users = stored.groupBy("user_id").agg(first)
         return _start(users, checkpoint, once, "update").foreachBatch(_per_batch(sink)).start()
     sessions = (
-        stored.withWatermark("ts", late_by)
+        stored.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", late_by)
         .groupBy("user_id", F.session_window("ts", session_gap).alias("session"))
         .agg(first)
         .select("user_id", "session.start", "session.end", "first_referrer")
