@@ -106,28 +106,39 @@ def channel(detail: Column, variant: str = "tag_manager") -> Column:
     return _first_match(rules, F.lit(None).cast("string"))
 
 
-# URL patterns of each source, ignoring case, in order of precedence.
-SOURCE_PATTERNS = {
-    "google_ads": ["gclid", "google.*uac", "google.*sem", "google.*gdn", "google.*yta"],
-    "facebook_ads": ["meta.*pfm", "meta.*awa"],
-    "stepstone_ads": ["stepstone.*cpad"],
-    "jobsora_ads": ["jobsora.*cpc", "cpc.*jobsora"],
-    "organic_instagram": ["instagram.*organic", "organic.*instagram"],
-    "organic_tiktok": ["tiktok.*organic", "organic.*tiktok"],
-    "organic_youtube": ["youtube.*organic", "organic.*youtube"],
+# Words in a URL that tell its source, ignoring case, in order of precedence. Of a
+# pair, the second word has to follow the first one somewhere.
+SOURCE_WORDS = {
+    "google_ads": ["gclid", ("google", "uac"), ("google", "sem"), ("google", "gdn"), ("google", "yta")],
+    "facebook_ads": [("meta", "pfm"), ("meta", "awa")],
+    "stepstone_ads": [("stepstone", "cpad")],
+    "jobsora_ads": [("jobsora", "cpc"), ("cpc", "jobsora")],
+    "organic_instagram": [("instagram", "organic"), ("organic", "instagram")],
+    "organic_tiktok": [("tiktok", "organic"), ("organic", "tiktok")],
+    "organic_youtube": [("youtube", "organic"), ("organic", "youtube")],
 }
 
 
+def _has_words(text: Column, words: str | tuple[str, str]) -> Column:
+    """Plain substring searches, which cost a fraction of a pattern with a gap in it."""
+    if isinstance(words, str):
+        return text.contains(words)
+    first, second = words
+    rest = F.instr(text, first) + len(first)
+    return text.contains(first) & (F.call_function("locate", F.lit(second), text, rest) > 0)
+
+
 def touch_source(url: Column, referrer: Column, variant: str = "tag_manager") -> Column:
     """Source of a touch from its URL, else from its referrer.
 
     The ``page_event`` variant also knows ``gbraid`` and calls everything else organic search.
     """
     page_event = variant == "page_event"
+    link = F.lower(F.coalesce(url, F.lit("")))
     rules = []
-    for source, patterns in SOURCE_PATTERNS.items():
+    for source, choices in SOURCE_WORDS.items():
         extra = ["gbraid"] if page_event and source == "google_ads" else []
-        rules.append((source, matches(url, "(?:" + "|".join(extra + patterns) + ")")))
+        rules.append((source, any_of([_has_words(link, words) for words in extra + choices])))
     if page_event:
         return _first_match(rules, F.lit("organic_search"))
     rules.append(("organic_search", starts_with_any(referrer)))
@@ -186,11 +197,17 @@ def first_touch(touches: DataFrame, variant: str = "signup") -> DataFrame:
 
 
 def with_channels(touches: DataFrame, first: DataFrame) -> DataFrame:
-    """Touches with their user's first referrer, channel detail and channel."""
-    source, campaign = (url_param(F.col("url"), f"utm_{name}") for name in ("source", "campaign"))
-    detail = channel_detail(source, campaign, F.col("first_referrer"))
+    """Touches with their user's first referrer, channel detail and channel.
+
+    The campaign parameters are columns of their own before the join, so each is parsed once per
+    touch and not once per rule.
+    """
+    tagged = touches.withColumns(
+        {f"utm_{name}": url_param(F.col("url"), f"utm_{name}") for name in ("source", "campaign")}
+    )
+    detail = channel_detail(F.col("utm_source"), F.col("utm_campaign"), F.col("first_referrer"))
     return (
-        touches.join(first, "user_id", "left")
+        tagged.join(first, "user_id", "left")
         .withColumn("channel_detail", detail)
         .withColumn("channel", channel(F.col("channel_detail")))
     )

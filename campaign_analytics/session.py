@@ -17,6 +17,10 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# For the session builder only. Plans are built from many small column calls; recording the caller's
+# stack for each of them takes longer than building the plan.
+BUILDER = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings above to an existing session."""

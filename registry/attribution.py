@@ -104,7 +104,7 @@ def page_urls(spark, d):
 
 
 def _trackers(spark, d):
-    source = by_index(SOURCES, F.col("n_nationkey"))
+    source = by_index(SOURCES, "n_nationkey")
     return read(spark, d, "nation").select(
         source.alias("source"),
         F.concat(F.lit("and"), F.col("n_nationkey").cast("string")).alias("android"),

@@ -30,7 +30,7 @@ def ab_results(spark, d):
         read(spark, d, "events")
         .select(
             F.concat(F.lit("t"), (F.col("user_id") % 20).cast("string")).alias("test_id"),
-            by_index(ARMS, F.col("event_id") % 3).alias("group_name"),
+            by_index(ARMS, "event_id % 3").alias("group_name"),
             "value",
         )
         .groupBy("test_id", "group_name")

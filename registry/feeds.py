@@ -51,7 +51,7 @@ def feed_rows(spark, d):
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("salary"),
         F.concat(F.lit("https://e.com/job?id="), key.cast("string"), F.lit("&x=1")).alias("url"),
         F.lit("MINIJOB").alias("jobtype"),
-        by_index(LANGUAGES, key % 3).alias("language"),
+        by_index(LANGUAGES, "o_orderkey % 3").alias("language"),
         F.concat(F.lit("Cat "), (key % 6).cast("string")).alias("category"),
         F.concat(F.lit("<p>Job "), key.cast("string"), F.lit(' für "alle"</p>')).alias("description"),
         F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 30), "yyyy-MM-dd").alias("endDate"),
@@ -76,7 +76,7 @@ def job_view(spark, d):
         F.col("event_id").alias("request_id"),
         F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("R"), (F.col("user_id") * 11).cast("string"))).alias("job_id"),
         F.when(F.col("event_id") % 4 == 2, (F.col("event_id") * 2).cast("string"))
-        .otherwise(by_index(DAVS, F.col("event_id") % 4))
+        .otherwise(by_index(DAVS, "event_id % 4"))
         .alias("dav"),
     )
     return plan.job_view(feed_rows(spark, d), requests)

@@ -23,6 +23,7 @@ CHOSEN = LINK_NAMES[:4] + ["", None]
 DETAILS = ["Aufbauhelfer/in", "german_course", None]
 DEFAULTS = ["Braze - Push", "Braze - Email", "Braze - Canvas", None, None]
 CAMPAIGNS = ["spring & co", None, "a b"]
+K = "CAST(get_json_object(props, '$.k') AS bigint)"
 CONTENT = ["a b&c~(x)!ä", "", None, "it's*/+"]
 
 SQL = {
@@ -63,13 +64,13 @@ def requests(spark, d):
     k = key_count()
     return read(spark, d, "events").select(
         F.col("event_id").alias("seq"),
-        by_index(PLATFORMS, F.col("event_id") % 3).alias("platform"),
-        by_index(CHANNELS, F.col("event_id") % 4).alias("channel"),
-        by_index(CHOSEN, k % 6).alias("deeplink"),
-        by_index(DETAILS, k % 3).alias("additional_detail"),
-        by_index(CAMPAIGNS, F.col("event_id") % 3).alias("campaign"),
+        by_index(PLATFORMS, "event_id % 3").alias("platform"),
+        by_index(CHANNELS, "event_id % 4").alias("channel"),
+        by_index(CHOSEN, K + " % 6").alias("deeplink"),
+        by_index(DETAILS, K + " % 3").alias("additional_detail"),
+        by_index(CAMPAIGNS, "event_id % 3").alias("campaign"),
         F.lit(None).cast("string").alias("adgroup"),
-        by_index(CONTENT, k % 4).alias("creative"),
+        by_index(CONTENT, K + " % 4").alias("creative"),
         F.concat(F.lit("https://e.com/?a="), k.cast("string")).alias("fallback_url"),
     )
 
@@ -77,7 +78,7 @@ def requests(spark, d):
 def _trackers(spark, d):
     number = F.col("n_nationkey").cast("string")
     return read(spark, d, "nation").select(
-        by_index(TRACKED, F.col("n_nationkey") % 5).alias("platform_channel"),
+        by_index(TRACKED, "n_nationkey % 5").alias("platform_channel"),
         F.concat(F.lit("and"), number).alias("android"),
         F.concat(F.lit("ios"), number).alias("ios"),
         F.col("n_nationkey").alias("seq"),
@@ -85,17 +86,16 @@ def _trackers(spark, d):
 
 
 def _link_types(spark, d):
-    key = F.col("r_regionkey")
     return read(spark, d, "region").select(
-        by_index(LINK_NAMES, key).alias("name"),
-        by_index(SCHEMES, key).alias("urlScheme"),
-        by_index(EXAMPLES, key).alias("deeplinkExample"),
+        by_index(LINK_NAMES, "r_regionkey").alias("name"),
+        by_index(SCHEMES, "r_regionkey").alias("urlScheme"),
+        by_index(EXAMPLES, "r_regionkey").alias("deeplinkExample"),
     )
 
 
 def _defaults(spark, d):
     return read(spark, d, "region").select(
-        by_index(DEFAULTS, F.col("r_regionkey")).alias("platform_channel"),
+        by_index(DEFAULTS, "r_regionkey").alias("platform_channel"),
         F.concat(F.lit("camp-"), "r_name").alias("campaign"),
         F.concat(F.lit("group-"), "r_name").alias("adgroup"),
         F.lit("c").alias("creative"),
@@ -122,7 +122,7 @@ def default_values(spark, d):
 
 def utm_url(spark, d):
     t = touches(spark, d)
-    content, term = by_index(CONTENT, t.event_id % 4), by_index(CAMPAIGNS, t.event_id % 3)
+    content, term = by_index(CONTENT, "event_id % 4"), by_index(CAMPAIGNS, "event_id % 3")
     out = plan.utm_url(t.url, t.utm_campaign, F.lit("qr"), t.utm_source, content, term)
     return t.select("event_id", out.alias("link"))
 

@@ -35,7 +35,7 @@ def _people(spark, d):
         F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("external_id"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("030"), F.col("c_custkey").cast("string")).alias("phone"),
-        by_index(BLANKS, F.col("c_custkey") % 6).alias("first_name"),
+        by_index(BLANKS, "c_custkey % 6").alias("first_name"),
         F.col("c_name").alias("last_name"),
         F.lit("1990-01-01").alias("dob"),
     )
@@ -69,16 +69,16 @@ def _leads(spark, d):
     key = F.col("c_custkey")
     return read(spark, d, "customer").select(
         key.alias("lead_id"),
-        by_index(BLANKS, (key + 1) % 6).alias("first_name"),
+        by_index(BLANKS, "(c_custkey + 1) % 6").alias("first_name"),
         F.col("c_name").alias("last_name"),
-        F.concat(F.lit("c"), key.cast("string"), by_index(MAILS, key % 5)).alias("email"),
+        F.concat(F.lit("c"), key.cast("string"), by_index(MAILS, "c_custkey % 5")).alias("email"),
         F.lit("0170").alias("phone"),
         F.col("c_mktsegment").alias("company"),
         (key * 7919).cast("string").alias("zip"),
-        by_index(INDUSTRIES, key % 4).alias("industry"),
+        by_index(INDUSTRIES, "c_custkey % 4").alias("industry"),
         F.lit("Ja").alias("callback"),
         F.lit("zwei").alias("bedarf__c"),
-        by_index(URLS, key % 13).alias("page_url"),
+        by_index(URLS, "c_custkey % 13").alias("page_url"),
         F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, c_custkey * 1.001)").alias("ts"),
     )
 
@@ -102,13 +102,13 @@ def lead_records(spark, d):
 
 
 def greeting(spark, d):
-    name = by_index(BLANKS, F.col("c_custkey") % 6)
-    language = by_index(["de", "en", None], F.col("c_custkey") % 3)
+    name = by_index(BLANKS, "c_custkey % 6")
+    language = by_index(["de", "en", None], "c_custkey % 3")
     return read(spark, d, "customer").select(
         "c_custkey",
         text.greeting(name).alias("greeting"),
         text.localized(language, F.lit("Hallo"), F.lit("Hello")).alias("hello"),
-        text.truthy(by_index(["true", "false", None, "TRUE"], F.col("c_custkey") % 4)).cast("int").alias("flag"),
+        text.truthy(by_index(["true", "false", None, "TRUE"], "c_custkey % 4")).cast("int").alias("flag"),
     )
 
 

@@ -302,8 +302,10 @@ AGENTS = ["Mozilla/5.0 (Linux; ANDROID 14)", "Mozilla/5.0 (iPhone; CPU)", "Mozil
 DEVICES = ["android", "ios", "ios", "desktop", "desktop"]
 
 
-def by_index(values: list, index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int"))
+def by_index(values: list, index: str) -> Column:
+    """Text at a position of a fixed list, null past its end; one SQL expression for the whole list."""
+    texts = ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"get(CAST(array({texts}) AS array<string>), CAST({index} AS int))")
 
 
 def sql_index(values: list, index: str) -> str:
@@ -320,17 +322,16 @@ SQL["touches"] = f"""
 
 
 def touches_from(events: DataFrame) -> DataFrame:
-    slot = F.col("event_id") % 24
     return events.select(
         "event_id",
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
         "ts",
-        by_index(SLOT_SOURCE, slot).alias("utm_source"),
-        by_index(SLOT_CAMPAIGN, slot).alias("utm_campaign"),
-        by_index(SLOT_REFERRER, slot).alias("first_referrer"),
-        by_index(URLS, F.col("event_id") % 13).alias("url"),
-        by_index(REFERRERS, F.col("event_id") % 7).alias("referrer"),
-        by_index(AGENTS, F.col("event_id") % 5).alias("user_agent"),
+        by_index(SLOT_SOURCE, "event_id % 24").alias("utm_source"),
+        by_index(SLOT_CAMPAIGN, "event_id % 24").alias("utm_campaign"),
+        by_index(SLOT_REFERRER, "event_id % 24").alias("first_referrer"),
+        by_index(URLS, "event_id % 13").alias("url"),
+        by_index(REFERRERS, "event_id % 7").alias("referrer"),
+        by_index(AGENTS, "event_id % 5").alias("user_agent"),
     )
 
 

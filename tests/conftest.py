@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
-from campaign_analytics.session import configure  # noqa: E402
+from campaign_analytics.session import BUILDER, configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark():
         .appName("campaign-analytics-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config(map=BUILDER)
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
