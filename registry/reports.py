@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campaign_analytics.functions import dates, text
-from campaign_analytics.operators import aggregates, filters, sets
+from campaign_analytics.operators import aggregates, filters, sets, windows
 from campaign_analytics.plans import reporting
 from campaign_analytics.session import shared_dir
 from campaign_analytics.sources import reports as readers
@@ -204,6 +204,12 @@ def top_spend_days(spark, d):
     return _days(sets.head(days, 5, [F.col("b2b_spend").desc(), F.col("date_dt")]), "date_dt")
 
 
+def top1_ties(spark, d):
+    """Each customer's largest order, by priority class; ties stay."""
+    orders = read(spark, d, "orders").select("o_custkey", "o_orderpriority", F.round("o_totalprice", -4).alias("total"))
+    return windows.top1_ties(orders, ["o_custkey"], "total")
+
+
 def union_batches(spark, d):
     """Two pulls of one table put together again, with a set of the values seen."""
     costs = report_tables(spark, d)["channel_cost"]
@@ -237,6 +243,7 @@ QUERIES = {
     "report_pages": report_pages,
     "report_table": report_table,
     "top_spend_days": top_spend_days,
+    "top1_ties": top1_ties,
     "union_batches": union_batches,
 }
 
@@ -370,6 +377,9 @@ ORACLE = {
         sum(impressions) AS b2b_paid_impr, sum(clicks) AS b2b_paid_clicks FROM channel_cost GROUP BY date_dt
         ORDER BY sum(ad_cost) DESC, date_dt LIMIT 5"""
     ),
+    "top1_ties": """SELECT o_custkey, o_orderpriority, total FROM (
+    SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY total DESC) AS place
+    FROM (SELECT o_custkey, o_orderpriority, round(o_totalprice, -4) AS total FROM orders)) WHERE place = 1""",
     "union_batches": with_tables(
         f"SELECT DISTINCT campaign FROM channel_cost WHERE date_dt BETWEEN DATE '{START}' AND DATE '{END}'"
     ),
