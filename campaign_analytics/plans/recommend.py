@@ -36,12 +36,18 @@ ACTIVITY_BACK, ACTIVITY_FORWARD, REVENUE_FORWARD = 60, 1, 3
 
 def talent_list(eligibility: DataFrame, talents: DataFrame, as_of: str) -> DataFrame:
     """Eligible talents of the day with their user, city, region and tag."""
-    rows = enrich_left(snapshot(eligibility, as_of), talents, TALENT, "talent_id")
+    listed = snapshot(eligibility, as_of).select("date_dt", TALENT, "matched_tag")
+    known = talents.select("talent_id", "user_uuid", "employment_city", "matching_region_name")
+    rows = enrich_left(listed, known, TALENT, "talent_id")
     return rows.select(
         "date_dt", TALENT, "user_uuid", "employment_city", "matching_region_name", "matched_tag"
     ).distinct()
 
 
+def _names(categories: DataFrame) -> DataFrame:
+    return categories.select("job_category_id", "job_category_name")
+
+
 def worked_category(
     talents: DataFrame, shifts: DataFrame, jobs: DataFrame, categories: DataFrame
 ) -> DataFrame:
@@ -55,7 +61,7 @@ def worked_category(
         F.col(TALENT) == F.col("booked_shift_talent_id"),
     )
     tagged = join_id_and_tag(booked, jobs.select("job_id", "mandatory_include_tags"), "job_fk", "job_id")
-    named = tagged.join(categories, F.col("job_category_fk") == F.col("job_category_id")).select(
+    named = tagged.join(_names(categories), F.col("job_category_fk") == F.col("job_category_id")).select(
         TALENT, "user_uuid", "matched_tag", "job_category_name", "shift_dt"
     )
     per_tag = named.groupBy(TALENT, "user_uuid", "job_category_name", "matched_tag").agg(
@@ -90,16 +96,24 @@ def worked_category(
 
 
 def activity_jobs(
-    talents: DataFrame, activity: DataFrame, jobs: DataFrame, categories: DataFrame, stamp: str, as_of: str
+    talents: DataFrame,
+    activity: DataFrame,
+    jobs: DataFrame,
+    categories: DataFrame,
+    stamp: str,
+    as_of: str,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Applications or views of the last 60 days, by talents whose tag the job asks for."""
-    recent = activity.where(within_days(F.col(stamp), as_of, ACTIVITY_BACK, ACTIVITY_FORWARD))
+    recent = activity.where(within_days(F.col(stamp), as_of, ACTIVITY_BACK, ACTIVITY_FORWARD)).select(
+        "talent_uuid", "job_uuid", stamp, *extra
+    )
     owned = talents.select(TALENT, "user_uuid", "matched_tag").join(
         recent, F.col("user_uuid") == F.col("talent_uuid")
     )
     wanted = jobs.select("job_uuid", "mandatory_include_tags", "job_category_fk")
     tagged = join_id_and_tag(owned, wanted, "job_uuid", "job_uuid")
-    return tagged.join(categories, F.col("job_category_fk") == F.col("job_category_id")).drop(
+    return tagged.join(_names(categories), F.col("job_category_fk") == F.col("job_category_id")).drop(
         "job_category_fk", "job_category_id"
     )
 
@@ -130,7 +144,7 @@ def seen_preference(
 ) -> DataFrame:
     """Category of the view ranked last: the latest one, and of equal times the least repeated."""
     stamp, count = "last_job_details_seen", "job_details_seen_count"
-    rows = activity_jobs(talents, views, jobs, categories, stamp, as_of)
+    rows = activity_jobs(talents, views, jobs, categories, stamp, as_of, (count,))
     if method == "window":
         order = [F.col(stamp).asc(), F.col(count).desc_nulls_first()]
         return _preference_by_windows(rows, order, stamp, "seen")
@@ -208,12 +222,15 @@ def unfulfilled_revenue(
         .agg(F.sum(gap).alias("gap"))
     )
     per_fk = (
-        per_job.join(jobs, F.col("job_fk") == F.col("job_id"), "left")
+        per_job.join(
+            jobs.select("job_id", "job_category_fk", "mandatory_include_tags"), F.col("job_fk") == F.col("job_id"), "left"
+        )
         .groupBy("business_region", "job_category_fk", "mandatory_include_tags")
         .agg(F.sum("gap").alias("gap"))
     )
-    named = enrich_left(per_fk, categories, "job_category_fk", "job_category_id")
-    placed = enrich_left(named, regions, "business_region", "business_region_name")
+    named = enrich_left(per_fk, _names(categories), "job_category_fk", "job_category_id")
+    places = regions.select("business_region_name", "matching_region_name")
+    placed = enrich_left(named, places, "business_region", "business_region_name")
     totals = placed.groupBy(
         "business_region", "matching_region_name", "job_category_name", "mandatory_include_tags"
     ).agg(F.sum("gap").alias("gap"))

@@ -98,6 +98,7 @@ def company_orders(t: dict[str, DataFrame], start, end) -> DataFrame:
     companies = t["company"].select(
         "company_id", F.col("name").alias("company_name"), F.col("industry_subcategory_id").alias("_industry")
     )
+    industries = t["industry_subcategory"].select("industry_subcategory_id", "industry_category_summarized_name")
     shifts = t["company_order_shift"].select(
         "company_order_shift_id", F.col("company_order_id").alias("_order"), "job_category_id", "job_location_id"
     )
@@ -105,10 +106,10 @@ def company_orders(t: dict[str, DataFrame], start, end) -> DataFrame:
         orders.join(shifts, F.col("company_order_id") == F.col("_order"))
         .join(users, F.col("created_by_id") == F.col("company_user_id"))
         .join(companies, F.col("_company") == F.col("company_id"))
-        .join(t["industry_subcategory"], F.col("_industry") == F.col("industry_subcategory_id"))
-        .join(t["job_category"], "job_category_id")
-        .join(t["job_location"], "job_location_id")
-        .join(t["business_region"], "business_region_id")
+        .join(industries, F.col("_industry") == F.col("industry_subcategory_id"))
+        .join(t["job_category"].select("job_category_id"), "job_category_id")
+        .join(t["job_location"].select("job_location_id", "business_region_id"), "job_location_id")
+        .join(t["business_region"].select("business_region_id", "business_region_name"), "business_region_id")
         .select(
             "company_user_id",
             "first_name",
