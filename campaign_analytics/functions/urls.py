@@ -51,26 +51,20 @@ def url_param(url: Column, name: str, style: str = "nullable", bare: str = "Unkn
     ``nullable``  missing is null, a bare key is ``''``; ``+`` is a blank
     """
     key = re.escape(name)
+    rest_of_text = 1 << 30
     if style == "decoded":
-        decoded = percent_decode(query_string(url))
-        pattern = rf"(?:^|&){key}((?:=[^=&]*)?)(?:=[^&]*)?(?:&|\z)"
-        value = F.regexp_extract(decoded, pattern, 1)
-        return (
-            F.when(F.regexp_extract(decoded, pattern, 0) == "", None)
-            .when(value == "", F.lit(bare))
-            .otherwise(F.substring(value, 2, 1 << 30))
-        )
+        # One search finds "&name" or "&name=value"; a name without "=" then gets the bare value.
+        text = F.concat(F.lit("&"), percent_decode(query_string(url)))
+        hit = F.regexp_substr(text, F.lit(rf"&{key}(?:=[^=&]*)?(?=[=&]|\z)"))
+        tail = F.regexp_replace(F.substring(hit, len(name) + 2, rest_of_text), r"^\z", f"={bare}")
+        return F.substring(tail, 2, rest_of_text)
     if style == "form":
         query = F.concat(F.lit("?"), query_string(url))
         value = F.regexp_extract(query, rf"[?&]{key}=([^&#]*)", 1)
         return F.coalesce(form_decode(value), F.lit(""))
     if style == "nullable":
-        pattern = rf"[?&]{key}(=[^&#]*|&|#|\z)"
-        hit = F.regexp_extract(url, pattern, 1)
-        return F.when(
-            url.rlike(pattern),
-            F.when(hit.startswith("="), form_decode(F.substring(hit, 2, 1 << 30))).otherwise(F.lit("")),
-        )
+        hit = F.regexp_substr(url, F.lit(rf"[?&]{key}(?:=[^&#]*)?(?=[&#]|\z)"))
+        return form_decode(F.substring(hit, len(name) + 3, rest_of_text))
     raise ValueError(f"unknown style {style!r}")
 
 

@@ -1,8 +1,9 @@
 """Window columns, and the same results as aggregates where a key can be very large.
 
 A window puts all rows of its partition into one task. The functions in the first part are meant
-for partitions whose size is bounded by dimensions; ``first_over`` and ``tail_marker`` give
-first-touch and last-rank results with map-side combining for facts of any size.
+for partitions whose size is bounded by dimensions. ``first_over`` and ``tail_marker`` give first-touch
+and last-rank results with map-side combining, and ``spread_rank`` ranks facts in pieces, for keys of
+any size.
 """
 
 from __future__ import annotations
@@ -68,6 +69,40 @@ def first_over(df: DataFrame, keys: list[str], value: str, order: list[str], out
     return df.groupBy(*keys).agg(F.min_by(value, at).alias(out or value))
 
 
+def spread_rank(
+    df: DataFrame,
+    key: str,
+    stamp: str,
+    descending: bool,
+    then: list[Column] | None = None,
+    out: str = "rnk",
+    piece: str = "hour",
+) -> DataFrame:
+    """Rank of every row within its key by time stamp, the key split by clock hour.
+
+    A row's rank is its rank inside the hour plus the rows of the hours before. The hours of a key
+    are counted first, so the running total sees one row per hour of the data's time range, and a
+    key with a third of all rows is ranked by as many tasks as it has hours. Stamps are not null.
+    """
+    hour = F.date_trunc(piece, F.col(stamp))
+    at = F.col("_piece").desc() if descending else F.col("_piece").asc()
+    before = Window.partitionBy("_key").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        df.groupBy(F.col(key).alias("_key"), hour.alias("_piece"))
+        .agg(F.count("*").alias("_n"))
+        .select("_key", F.col("_piece").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    order = F.col(stamp).desc() if descending else F.col(stamp).asc()
+    inside = rank_over([key, "_piece"], [order, *(then or [])])
+    return (
+        df.withColumn("_piece", hour)
+        .withColumn("_inside", inside)
+        .join(starts, (F.col(key) == F.col("_key")) & (F.col("_piece") == F.col("_at")))
+        .withColumn(out, F.col("_start") + F.col("_inside"))
+        .drop("_piece", "_inside", "_key", "_at", "_start")
+    )
+
+
 def tail_marker(
     rows: DataFrame, owner: str, group: list[str], order_key: str, stamp: str, last: str = "max"
 ) -> DataFrame:

@@ -4,8 +4,8 @@ A talent's category comes from the shifts they worked, the jobs they applied for
 looked at, and the revenue still unfilled in their region.
 
 Talents and users identify each other: ``dim_talent`` has one ``user_uuid`` per ``talent_id`` and
-the other way round, and category names are not null. ``method='window'`` drops that assumption and
-ranks all rows of a user in windows, at the price of holding a user's rows in one task.
+the other way round. Where several talents share a user, ``method='rank'`` gives the exact result: it
+ranks every row of a user, at the price of one more shuffle of the activity. Category names are not null.
 """
 
 from __future__ import annotations
@@ -18,13 +18,11 @@ from ..operators.filters import choose_preference, positive_only, snapshot
 from ..operators.joins import enrich_left, join_id_and_tag, map_lookup
 from ..operators.payloads import batch_payloads
 from ..operators.windows import (
-    count_over,
     dense_rank_over,
     last_rank_marker,
     max_over,
     qualify,
-    rank_over,
-    single_row_flag,
+    spread_rank,
     tail_marker,
 )
 
@@ -128,9 +126,8 @@ def applied_preference(
 ) -> DataFrame:
     """Category of the application ranked last by recency, which is the oldest one."""
     rows = activity_jobs(talents, applications, jobs, categories, "timestamp", as_of)
-    if method == "window":
-        order = [F.col("timestamp").desc_nulls_first()]
-        return _preference_by_windows(rows, order, "timestamp", "applied")
+    if method == "rank":
+        return _preference_by_rank(rows, "timestamp", "applied", True, [])
     return _preference(rows.withColumn("order_key", F.col("timestamp")), "timestamp", "applied", "min")
 
 
@@ -145,9 +142,8 @@ def seen_preference(
     """Category of the view ranked last: the latest one, and of equal times the least repeated."""
     stamp, count = "last_job_details_seen", "job_details_seen_count"
     rows = activity_jobs(talents, views, jobs, categories, stamp, as_of, (count,))
-    if method == "window":
-        order = [F.col(stamp).asc(), F.col(count).desc_nulls_first()]
-        return _preference_by_windows(rows, order, stamp, "seen")
+    if method == "rank":
+        return _preference_by_rank(rows, stamp, "seen", False, [F.col(count).desc_nulls_first()])
     key = F.struct(F.col(stamp), (-F.col(count)).alias("fewest"))
     return _preference(rows.withColumn("order_key", key), stamp, "seen", "max")
 
@@ -169,34 +165,38 @@ def _preference(rows: DataFrame, stamp: str, kind: str, last: str) -> DataFrame:
     )
 
 
-def _preference_by_windows(rows: DataFrame, order: list[Column], stamp: str, kind: str) -> DataFrame:
-    same_job = [TALENT, "job_category_name", "matched_tag"]
-    ranked = rows.select(
-        TALENT,
-        "user_uuid",
-        rank_over(["talent_uuid"], order).alias("rnk"),
-        count_over([TALENT], "job_category_name").alias("cnt_shifts"),
-        count_over(same_job, "job_uuid").alias(f"{kind}_count"),
-        "job_category_name",
-        "matched_tag",
-        max_over([TALENT], stamp).alias(f"last_{kind}_job"),
-    ).distinct()
-    marked = ranked.select(
+def _preference_by_rank(rows: DataFrame, stamp: str, kind: str, descending: bool, then: list[Column]) -> DataFrame:
+    """The same from the rank of every row in its user and the row count of its talent."""
+    job = [TALENT, "job_category_name", "matched_tag"]
+    of_talent = Window.partitionBy(TALENT)
+    per_job = (
+        rows.groupBy(*job)
+        .agg(F.count("job_uuid").alias(f"{kind}_count"), F.count("job_category_name").alias("n"), F.max(stamp).alias("s"))
+        .select(
+            *job,
+            f"{kind}_count",
+            F.sum("n").over(of_talent).alias("cnt_shifts"),
+            dense_rank_over([TALENT], [F.col(f"{kind}_count").desc_nulls_first()]).alias("ranking_by_cnt"),
+            F.max("s").over(of_talent).alias(f"last_{kind}_job"),
+        )
+    )
+    ranked = spread_rank(rows, "talent_uuid", stamp, descending, then)
+    listed = ranked.select(TALENT, "user_uuid", "job_category_name", "matched_tag", "rnk").distinct()
+    single = listed.groupBy(TALENT).agg(F.count("user_uuid").alias("n")).where("n = 1").select(TALENT, F.lit(1).alias("one"))
+    marker = last_rank_marker(F.col("cnt_shifts"), F.col("rnk"), F.col("job_category_name"))
+    marked = listed.join(per_job, job).join(single, TALENT, "left").withColumn(f"{kind}_preference", marker)
+    return qualify(marked, F.col(f"{kind}_preference").isNotNull() | F.col("one").isNotNull()).select(
         TALENT,
         "user_uuid",
         "cnt_shifts",
         f"{kind}_count",
-        dense_rank_over([TALENT], [F.col(f"{kind}_count").desc_nulls_first()]).alias("ranking_by_cnt"),
-        last_rank_marker(F.col("cnt_shifts"), F.col("rnk"), F.col("job_category_name")).alias(
-            f"{kind}_preference"
-        ),
+        "ranking_by_cnt",
+        f"{kind}_preference",
         "job_category_name",
         "matched_tag",
         f"last_{kind}_job",
-        single_row_flag([TALENT], "user_uuid").alias("total_selected_row"),
+        F.col("one").alias("total_selected_row"),
     )
-    same = F.coalesce(F.col("job_category_name") == F.col(f"{kind}_preference"), F.lit(False))
-    return qualify(marked, same | F.col("total_selected_row").isNotNull()).distinct()
 
 
 def unfulfilled_revenue(

@@ -76,8 +76,8 @@ QUERIES = {
     "worked_category": worked_category,
     "applied_preference": _preference("applied"),
     "seen_preference": _preference("seen"),
-    "applied_preference_windows": _preference("applied", "window"),
-    "seen_preference_windows": _preference("seen", "window"),
+    "applied_preference_ranked": _preference("applied", "rank"),
+    "seen_preference_ranked": _preference("seen", "rank"),
     "recommend_category": recommend_category,
     "recommendation_payloads": recommendation_payloads,
 }
@@ -192,8 +192,8 @@ ORACLE = {
     ),
     "applied_preference": _preference_sql("applied"),
     "seen_preference": _preference_sql("seen"),
-    "applied_preference_windows": _preference_sql("applied"),
-    "seen_preference_windows": _preference_sql("seen"),
+    "applied_preference_ranked": _preference_sql("applied"),
+    "seen_preference_ranked": _preference_sql("seen"),
     "recommend_category": with_tables("SELECT * FROM recommended_stage", STAGES),
     "recommendation_payloads": with_tables(
         f"""

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from campaign_analytics.operators import windows
 from campaign_analytics.plans import recommend as plan
 
 AS_OF = "2024-01-31"
@@ -74,14 +75,52 @@ def talents_of(frames):
     return plan.talent_list(frames["talent_eligibility"], frames["dim_talent"], AS_OF)
 
 
-@pytest.mark.parametrize("kind", ["applied", "seen"])
-def test_aggregated_preference_equals_windows(tables, kind):
-    _, t = tables
-    fn, table = {
-        "applied": (plan.applied_preference, "job_apply_core"), "seen": (plan.seen_preference, "job_details_seen"),
+def by_windows(talents, activity, jobs, categories, kind):
+    """The definition itself: rank and count all rows, mark where they meet."""
+    stamp, order = {
+        "applied": ("timestamp", [F.col("timestamp").desc()]),
+        "seen": ("last_job_details_seen", [F.col("last_job_details_seen").asc(), F.col("job_details_seen_count").desc_nulls_first()]),
     }[kind]
-    args = (talents_of(t), t[table], t["fact_job"], t["dim_job_category"], AS_OF)
-    assert rows_of(fn(*args)) == rows_of(fn(*args, method="window"))
+    extra = ("job_details_seen_count",) if kind == "seen" else ()
+    rows = plan.activity_jobs(talents, activity, jobs, categories, stamp, AS_OF, extra)
+    owner, job = [plan.TALENT], [plan.TALENT, "job_category_name", "matched_tag"]
+    ranked = rows.select(
+        plan.TALENT, "user_uuid", "job_category_name", "matched_tag",
+        windows.rank_over(["talent_uuid"], order).alias("rnk"),
+        windows.count_over(owner, "job_category_name").alias("cnt_shifts"),
+        windows.count_over(job, "job_uuid").alias(f"{kind}_count"),
+        windows.max_over(owner, stamp).alias(f"last_{kind}_job"),
+    ).distinct()
+    marked = ranked.withColumns({
+        "ranking_by_cnt": windows.dense_rank_over(owner, [F.col(f"{kind}_count").desc()]),
+        f"{kind}_preference": windows.last_rank_marker(F.col("cnt_shifts"), F.col("rnk"), F.col("job_category_name")),
+        "total_selected_row": windows.single_row_flag(owner, "user_uuid"),
+    })
+    kept = F.col(f"{kind}_preference").isNotNull() | F.col("total_selected_row").isNotNull()
+    return windows.qualify(marked, kept).drop("rnk")
+
+
+KINDS = {"applied": (plan.applied_preference, "job_apply_core"), "seen": (plan.seen_preference, "job_details_seen")}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_preference_equals_its_definition(tables, kind):
+    _, t = tables
+    fn, table = KINDS[kind]
+    args = (talents_of(t), t[table], t["fact_job"], t["dim_job_category"])
+    want = rows_of(by_windows(*args, kind))
+    assert rows_of(fn(*args, AS_OF)) == want
+    assert rows_of(fn(*args, AS_OF, method="rank")) == want
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_ranked_preference_when_talents_share_a_user(tables, kind):
+    _, t = tables
+    fn, table = KINDS[kind]
+    shared = t["dim_talent"].withColumn("user_uuid", F.concat(F.lit("u"), (F.col("talent_id") % 5).cast("string")))
+    talents = plan.talent_list(t["talent_eligibility"], shared, AS_OF)
+    args = (talents, t[table], t["fact_job"], t["dim_job_category"])
+    assert rows_of(fn(*args, AS_OF, method="rank")) == rows_of(by_windows(*args, kind))
 
 
 def activity(rows, table):
@@ -175,7 +214,7 @@ def test_revenue_equals_the_fanned_out_sum(tables):
 def test_every_talent_is_listed_and_methods_agree(tables):
     _, t = tables
     fast = plan.recommend_category(t, AS_OF)
-    assert rows_of(fast) == rows_of(plan.recommend_category(t, AS_OF, method="window"))
+    assert rows_of(fast) == rows_of(plan.recommend_category(t, AS_OF, method="rank"))
     assert {r.talent_id for r in fast.collect()} == set(range(12))
     assert fast.count() == fast.distinct().count()
 
