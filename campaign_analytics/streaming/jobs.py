@@ -3,7 +3,9 @@
 Each job takes a streaming DataFrame, a checkpoint folder and a sink folder, and returns the started
 query. With ``once=True`` it works off what is there and stops. Jobs that correct earlier results
 write every micro-batch to its own ``batch_id`` folder: a repeated batch replaces its folder, so a
-restart never doubles rows, and the matching ``read_*`` function merges the folders.
+restart never doubles rows, and the matching ``read_*`` function merges the folders. When many have
+gathered, ``compact_*`` writes their merged content as the first folder of a fresh sink; the query then
+goes on with the same checkpoint and the new sink.
 """
 
 from __future__ import annotations
@@ -34,6 +36,11 @@ def _read_batches(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def _seed(df: DataFrame, sink: str) -> None:
+    """Batches count from 0, so merged history sorts before every later one as batch -1."""
+    df.write.mode("overwrite").parquet(f"{sink}/batch_id=-1")
+
+
 def stream_touches(touches: DataFrame, checkpoint: str, sink: str, once: bool = False) -> StreamingQuery:
     """Page records of arriving touches. Row by row, no state."""
     return _start(page_event(touches), checkpoint, once).format("parquet").option("path", sink).start()
@@ -87,6 +94,10 @@ def read_first_touch(spark: SparkSession, sink: str) -> DataFrame:
     )
 
 
+def compact_first_touch(spark: SparkSession, sink: str, fresh: str) -> None:
+    _seed(read_first_touch(spark, sink), fresh)
+
+
 def stream_profile(attributes: DataFrame, checkpoint: str, sink: str, once: bool = False) -> StreamingQuery:
     """Attribute writes, reduced to the last per user and attribute within each micro-batch."""
     return _start(attributes, checkpoint, once).foreachBatch(_per_batch(sink, last_writes)).start()
@@ -95,3 +106,7 @@ def stream_profile(attributes: DataFrame, checkpoint: str, sink: str, once: bool
 def read_profile(spark: SparkSession, sink: str, names: list[str]) -> DataFrame:
     """Current attributes of every user."""
     return latest_attributes(_read_batches(spark, sink).drop("batch_id"), names)
+
+
+def compact_profile(spark: SparkSession, sink: str, fresh: str) -> None:
+    _seed(last_writes(_read_batches(spark, sink).drop("batch_id")), fresh)

@@ -4,7 +4,11 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import registry
+from campaign_analytics.operators import sets
+from campaign_analytics.operators.payloads import batch_payloads
 from campaign_analytics.plans import reporting
 from registry import reports, tables
 
@@ -48,3 +52,12 @@ def test_windows_of_the_default_path_see_no_facts(spark):
 
 def test_group_assignment_moves_no_rows(spark):
     assert "Exchange" not in plan_of(QUERIES["assign_groups"](spark, SF_DIR))
+
+
+def test_a_page_keeps_only_its_top_rows(spark):
+    assert "TakeOrderedAndProject" in plan_of(sets.page_of(spark.range(100), "id", page=3))
+
+
+def test_batches_need_one_shuffle(spark):
+    keys = spark.range(100).select(F.col("id").cast("string").alias("id"))
+    assert plan_of(batch_payloads(keys, "id", F.struct("id"), "users", shards=4)).count("Exchange") == 1

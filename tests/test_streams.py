@@ -42,6 +42,8 @@ def test_first_touch_out_of_order_and_restarted(spark, tmp_path):
     jobs.stream_first_touch(touch_stream(spark, src), check, out, once=True).awaitTermination()
     early = {r.user_id: r.first_referrer for r in jobs.read_first_touch(spark, out).collect()}
     assert early == {"a": "bing", "b": "partner", "c": None}
+    jobs.compact_first_touch(spark, out, str(tmp_path / "fresh"))
+    out = str(tmp_path / "fresh")
     add_file(spark, LATE, TOUCH, src)
     for _ in range(2):
         jobs.stream_first_touch(touch_stream(spark, src), check, out, once=True).awaitTermination()
@@ -85,6 +87,8 @@ def test_profile_upserts(spark, tmp_path):
         add_file(spark, rows, schema, src)
         stream = spark.readStream.schema(schema).parquet(src)
         jobs.stream_profile(stream, check, out, once=True).awaitTermination()
+        jobs.compact_profile(spark, out, out + "x")
+        out += "x"
     names = ["nps", "type"]
     got = sorted(map(repr, jobs.read_profile(spark, out, names).collect()))
     assert got == sorted(map(repr, latest_attributes(spark.read.parquet(src), names).collect()))
