@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
 from .pii import KINDS, base_spans, find_pii, span_list
 from .url_filter import canonical_url, host_and_path, judge_urls
@@ -14,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = F.transform("pii", lambda x: x["kind"])
@@ -45,6 +50,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
     "op8_urls": op8_urls,
     "op10_mixing": op10_mixing,
