@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def shared_object(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast an object of bounded size with its class, and give what loads it inside a task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 # A filter has at most this many words of 64 bits, so that its table can be broadcast however long the list is.
 # A list of more than a few million keys only makes the filter let more rows through to the exact join.
 MAX_BLOOM_WORDS = 1 << 17

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated_spans
+from .language_id import held_out, identify, train
 from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
 from .pii import KINDS, base_spans, find_pii, span_list
@@ -15,6 +17,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out()).select("doc_id", "lang", "text"))
+    return identify(docs, model).withColumn("held_out", held_out())
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a benchmark item, with their items and the longest overlap."""
+    spans = contaminated_spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    longest = F.max(F.struct((F.col("end") - F.col("start")).alias("n"), "n_equal"))
+    found = spans.groupBy("doc_id").agg(
+        F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), longest.alias("longest")
+    )
+    return found.select("doc_id", "n_items", "item_id", F.col("longest.n").alias("n_words"), F.col("longest.n_equal").alias("n_equal"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -50,6 +68,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_language": op4_language,
+    "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
     "op8_urls": op8_urls,
