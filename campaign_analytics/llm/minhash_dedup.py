@@ -124,7 +124,7 @@ def _bands(reps: DataFrame) -> DataFrame:
             for row in range(0, batch.num_rows, 2048):
                 part = batch.slice(row, 2048)
                 regs = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, BANDS, ROWS)
-                key = np.zeros(regs.shape[:2], np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+                key = np.zeros(regs.shape[:2], np.uint64) + mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
                 for i in range(ROWS):
                     key = mix64(key ^ (regs[:, :, i].astype(np.uint64) + np.uint64(i << 32)))
                 ids = np.repeat(part.column(0).to_numpy(), BANDS)

@@ -9,6 +9,7 @@ from .decontaminate import contaminated_spans
 from .language_id import held_out, identify, train
 from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
+from .near_vectors import near_vectors
 from .pii import KINDS, base_spans, find_pii, span_list
 from .url_filter import canonical_url, host_and_path, judge_urls
 
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out()).select("doc_id", "lang", "text"))
@@ -68,6 +73,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_vectors": op1_vectors,
     "op4_language": op4_language,
     "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
