@@ -11,6 +11,7 @@ from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
 from .near_vectors import near_vectors
 from .pii import KINDS, base_spans, find_pii, span_list
+from .substring_dedup import remove_repeats
 from .url_filter import canonical_url, host_and_path, judge_urls
 
 
@@ -22,6 +23,11 @@ def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = remove_repeats(_table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out()).select("doc_id", "lang", "text"))
@@ -74,6 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_vectors": op1_vectors,
+    "op2_substrings": op2_substrings,
     "op4_language": op4_language,
     "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
