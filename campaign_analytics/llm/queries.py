@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated_spans
+from .html_extract import extract_main_text
+from .html_extract import train as train_extractor
 from .language_id import held_out, identify, train
 from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
@@ -73,6 +75,11 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return extract_main_text(pages, train_extractor(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -86,6 +93,7 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
     "op8_urls": op8_urls,
+    "op9_html": op9_html,
     "op10_mixing": op10_mixing,
 }
 
