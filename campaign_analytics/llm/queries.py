@@ -9,6 +9,7 @@ from .decontaminate import contaminated_spans
 from .html_extract import extract_main_text
 from .html_extract import train as train_extractor
 from .language_id import held_out, identify, train
+from .license_scan import license_matches
 from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
 from .near_vectors import near_vectors
@@ -30,6 +31,10 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out()).select("doc_id", "lang", "text"))
@@ -88,6 +93,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_vectors": op1_vectors,
     "op2_substrings": op2_substrings,
+    "op3_licenses": op3_licenses,
     "op4_language": op4_language,
     "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
