@@ -13,6 +13,7 @@ from .license_scan import license_matches
 from .minhash_dedup import near_duplicates
 from .mixing import mix_plan
 from .near_vectors import near_vectors
+from .oracle import ORACLE
 from .pii import KINDS, base_spans, find_pii, span_list
 from .substring_dedup import remove_repeats
 from .url_filter import canonical_url, host_and_path, judge_urls
@@ -103,4 +104,4 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
