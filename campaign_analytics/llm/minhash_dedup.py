@@ -269,23 +269,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, word_k
     links = cut(_verify_pairs(with_texts, shingle, word_kind, percent))
     found = cut(connected_components(links))
 
-    # Buckets of two were settled by their one pair. Of buckets with the same members one is enough.
+    # Buckets of two were settled by their one pair. Of buckets with the same members one is enough. Members of a
+    # bucket's largest component need not meet each other: its blocks, numbered after the others, only meet those.
     wide = members.filter("members > 2").join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    wide = wide.withColumn("component", F.coalesce("component", "rep"))
-    open_ = wide.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("who"), F.count("*").alias("m")
+    wide = cut(wide.select("band", "rep", F.coalesce("component", "rep").alias("component")))
+    parts = wide.groupBy("band", "component").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("rep")).alias("who"))
+    open_ = parts.groupBy("band").agg(
+        F.max(F.struct("m", "component")).alias("core"), F.sum("m").alias("m"), F.bit_xor("who").alias("who"), F.count("*").alias("parts")
     )
-    open_ = open_.filter("low < high").groupBy("who", "m").agg(F.min("band").alias("band"))
-    open_ = open_.select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    left = wide.select("band", "rep", "component").join(open_, "band")
-    left = left.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    left = cut(left)
+    open_ = open_.filter("parts > 1").groupBy("who", "m").agg(F.min(F.struct("band", "core")).alias("first")).select("first.*", "m")
+    open_ = open_.select(
+        "band",
+        F.col("core.component").alias("core"),
+        F.ceil((F.col("m") - F.col("core.m")) / BLOCK).cast("int").alias("rest_blocks"),
+        F.ceil(F.col("core.m") / BLOCK).cast("int").alias("core_blocks"),
+    )
+    at = F.xxhash64("rep")
+    in_core = F.col("component") == F.col("core")
+    left = wide.join(open_, "band").withColumns(
+        {
+            "block": F.when(in_core, F.col("rest_blocks") + F.pmod(at, F.col("core_blocks")))
+            .otherwise(F.pmod(at, F.col("rest_blocks")))
+            .cast("int"),
+            "last": F.col("rest_blocks") - 1 + F.when(in_core, 0).otherwise(F.col("core_blocks")),
+        }
+    )
+    left = cut(left.select("band", "rep", "component", "block", "last"))
     if not left.isEmpty():
-        other = F.explode(F.expr("sequence(0, blocks - 1)"))
-        left = left.withColumn("other", other)
-        left = left.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
         ids = left.select(F.col("rep").alias("id")).distinct()
         left = left.join(reps, "rep").join(texts(ids, "text").withColumnRenamed("id", "rep"), "rep")
+        left = left.withColumn("other", F.explode(F.expr("sequence(0, last)")))
+        left = left.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
         links = cut(links.union(_within_blocks(left, shingle, word_kind, percent)))
         found = cut(connected_components(links))
 
