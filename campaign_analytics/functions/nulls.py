@@ -23,12 +23,12 @@ def sum_or_zero(col: Column) -> Column:
     return F.coalesce(F.sum(col), F.lit(0))
 
 
-def money_sum(col: Column, scale: int = 4) -> Column:
-    """Sum money as an exact decimal and return a double.
+def money_sum(col: Column, scale: int = 12) -> Column:
+    """Sum money as a decimal of ``scale`` places and return a double; costs in millionths keep their digits.
 
     Decimal addition does not depend on the order of rows, so re-run tasks give the same digits.
     """
-    return F.coalesce(F.sum(col.cast(f"decimal(20,{scale})")), F.lit(0)).cast("double")
+    return F.coalesce(F.sum(col.cast(f"decimal(28,{scale})")), F.lit(0)).cast("double")
 
 
 def drop_null_dims(df: DataFrame, dims: list[str]) -> DataFrame:

@@ -39,8 +39,11 @@ def dedupe_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def map_lookup(
     df: DataFrame, key: str, table: DataFrame, table_key: str, table_value: str, out: str, default: Column
 ) -> DataFrame:
-    """Value of a lookup table, or ``default`` where it is missing or empty."""
-    lookup = table.select(F.col(table_key).alias("_k"), F.col(table_value).alias("_v"))
+    """Value of a lookup table, or ``default`` where it is missing or empty.
+
+    A key that the table repeats takes its greatest value, so that a lookup never adds rows.
+    """
+    lookup = table.groupBy(F.col(table_key).alias("_k")).agg(F.max(table_value).alias("_v"))
     value = F.when(F.coalesce(F.col("_v"), F.lit("")) != "", F.col("_v")).otherwise(default)
     return (
         df.join(lookup, F.col(key) == F.col("_k"), "left").withColumn(out, value).drop("_k", "_v")
@@ -54,21 +57,23 @@ def platform_channel(platform: str = "platform", channel: str = "channel") -> Co
 def tracker_lookup(requests: DataFrame, trackers: DataFrame) -> DataFrame:
     """Android and iOS tracker ids of ``platform - channel``, null when unknown.
 
-    ``trackers`` may repeat a name; with a ``seq`` column the last one counts.
+    ``trackers`` may repeat a name: the last one by ``seq`` counts, or the greatest pair of ids where
+    there is no such column, so that a lookup never adds rows.
     """
-    known = dedupe_last(trackers, ["platform_channel"], "seq") if "seq" in trackers.columns else trackers
-    known = known.select(
-        F.col("platform_channel").alias("_pc"), F.col("android").alias("android_id"), F.col("ios").alias("ios_id")
-    )
+    ids = F.struct(F.col("android").alias("android_id"), F.col("ios").alias("ios_id"))
+    last = F.max_by(ids, "seq") if "seq" in trackers.columns else F.max(ids)
+    known = trackers.groupBy(F.col("platform_channel").alias("_pc")).agg(last.alias("_ids")).select("_pc", "_ids.*")
     return requests.join(known, platform_channel() == F.col("_pc"), "left").drop("_pc")
 
 
 def default_campaign(requests: DataFrame, defaults: DataFrame) -> DataFrame:
-    """Fill campaign, adgroup and creative from the defaults of ``platform - channel``, else ``''``."""
+    """Fill campaign, adgroup and creative from the defaults of ``platform - channel``, else ``''``.
+
+    A name that ``defaults`` repeats takes its greatest row, so that a lookup never adds rows.
+    """
     fields = ["campaign", "adgroup", "creative"]
-    known = defaults.select(
-        F.col("platform_channel").alias("_pc"), *[F.col(f).alias(f"_{f}") for f in fields]
-    )
+    row = F.struct(*[F.col(f).alias(f"_{f}") for f in fields])
+    known = defaults.groupBy(F.col("platform_channel").alias("_pc")).agg(F.max(row).alias("_row")).select("_pc", "_row.*")
     return (
         requests.join(known, platform_channel() == F.col("_pc"), "left")
         .withColumns({f: F.coalesce(F.col(f), F.col(f"_{f}"), F.lit("")) for f in fields})
