@@ -43,12 +43,14 @@ def form_decode(text: Column) -> Column:
 
 
 def url_param(url: Column, name: str, style: str = "nullable", bare: str = "Unknown") -> Column:
-    """First value of a query parameter, under one of three reading rules.
+    """First value of a query parameter, under one of four reading rules.
 
     ``decoded``   decode the query, then split on ``&`` and ``=``: missing is null and a key
                   without ``=`` gives ``bare``
     ``form``      only ``name=value`` counts; ``+`` is a blank; missing is ``''``
     ``nullable``  missing is null, a bare key is ``''``; ``+`` is a blank
+    ``search_params``  as ``nullable``, but read from the query alone, never from the fragment; a
+                  malformed escape stays as it is
     """
     key = re.escape(name)
     rest_of_text = 1 << 30
@@ -65,6 +67,11 @@ def url_param(url: Column, name: str, style: str = "nullable", bare: str = "Unkn
     if style == "nullable":
         hit = F.regexp_substr(url, F.lit(rf"[?&]{key}(?:=[^&#]*)?(?=[&#]|\z)"))
         return form_decode(F.substring(hit, len(name) + 3, rest_of_text))
+    if style == "search_params":
+        pairs = F.concat(F.lit("&"), query_string(url))
+        hit = F.regexp_substr(pairs, F.lit(rf"&{key}(?:=[^&]*)?(?=&|\z)"))
+        value = F.substring(hit, len(name) + 3, rest_of_text)
+        return form_decode(F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25"))
     raise ValueError(f"unknown style {style!r}")
 
 

@@ -15,21 +15,18 @@ def batch_payloads(
     root: str,
     size: int = 50,
     shards: int | None = None,
-    exact: bool = False,
 ) -> DataFrame:
     """JSON bodies ``{root: [record, ...]}`` of at most ``size`` records.
 
-    Rows go to hash shards and are cut into batches there, so each shard may end in a short batch.
-    The number of shards defaults to the session's shuffle partitions and so grows with the
-    cluster. ``exact=True`` numbers all rows first and makes exactly ``ceil(rows / size)`` bodies,
-    for one more pass over the keys. ``key`` must be unique.
+    All rows are numbered over hash buckets and make exactly ``ceil(rows / size)`` bodies, for one more
+    pass over the keys. With ``shards`` the rows of each of so many hash shards are cut on their own
+    instead: one pass less, and each shard may end in a short batch. ``key`` must be unique and not null.
     """
-    if exact:
+    if shards is None:
         placed = global_row_number(df, key, out="_rn").withColumns(
             {"shard": F.lit(0), "batch_no": F.floor(F.col("_rn") / size).cast("bigint")}
         )
     else:
-        shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = batch_number(df, key, size, shards)
     records = F.transform(
         F.array_sort(F.collect_list(F.struct("_rn", record.alias("record")))), lambda x: x["record"]

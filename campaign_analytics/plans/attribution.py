@@ -92,7 +92,7 @@ CHANNELS = {
     "Paid Search": ["Google Ads Performance Max", "Google Search"],
     "Organic Search": ["Google Organic Search", "Misc. Organic Search"],
     "Job boards": ["Jobsora", "Stepstone"],
-    "Unknown/organic": ["Misc. Traffic", "Unknown"],
+    "Unknown/organic": ["Misc. Traffic", "Misc. Refferal Traffic", "Unknown"],
 }
 
 
@@ -186,7 +186,7 @@ def touch_referrer(url: Column, referrer: Column, variant: str = "signup") -> Co
     if variant == "website":
         return F.coalesce(label, F.lit("null"))
     if variant == "signup":
-        return F.coalesce(F.nullif(url_param(url, "first_ref"), F.lit("")), F.nullif(label, F.lit("")))
+        return F.coalesce(F.nullif(url_param(url, "first_ref", "search_params"), F.lit("")), F.nullif(label, F.lit("")))
     raise ValueError(f"unknown variant {variant!r}")
 
 
@@ -219,15 +219,16 @@ OWN_PAGE_SOURCES = ["organic_social", "organic_search", "website_clickout"]
 def tracker_link(
     touches: DataFrame,
     trackers: DataFrame,
+    base_url: str,
     variant: str = "constant",
-    base_url: str = "https://app.adjust.com/",
-    creative: str = "wp-qrcode",
+    creative: str = "qr",
 ) -> DataFrame:
     """Tracking URL of a touch from its source's tracker ids.
 
     Unpaid sources carry page and referrer, paid ones their campaign parameters. The ``constant``
     variant always names the same creative; ``term`` uses ``utm_term`` for paid sources only and
-    takes video sites for engines. ``trackers`` has ``source``, ``android`` and ``ios``.
+    takes video sites for engines. ``trackers`` has ``source``, ``android`` and ``ios``; of a source
+    that it repeats the greatest pair of ids counts. ``base_url`` ends with a slash.
     """
     source = touch_source_legacy(F.col("url"), F.col("referrer"), "qr_video" if variant == "term" else "qr")
 
@@ -240,7 +241,9 @@ def tracker_link(
         own, paid = (F.concat(link, F.lit(f"&creative={creative}")) for link in (own, paid))
     else:
         paid = F.concat(paid, F.lit("&creative="), param("utm_term"))
-    ids = trackers.select("source", F.concat_ws("_", "android", "ios").alias("_ids"))
+    last = F.max(F.struct("android", "ios"))
+    ids = trackers.groupBy("source").agg(last.alias("_last"))
+    ids = ids.select("source", F.concat_ws("_", "_last.android", "_last.ios").alias("_ids"))
     return (
         touches.withColumn("source", source)
         .join(ids, "source", "left")
@@ -272,7 +275,7 @@ def page_event_columns() -> list[Column]:
     url = F.col("url")
     return [
         url_path(url).alias("name"),
-        *[url_param(url, click_id).alias(click_id) for click_id in CLICK_IDS],
+        *[url_param(url, click_id, "search_params").alias(click_id) for click_id in CLICK_IDS],
         touch_source(url, F.col("referrer"), "page_event").alias("marketing_source"),
     ]
 
@@ -294,13 +297,16 @@ CONVERSION = {
 
 
 def affiliate_conversions(
-    touches: DataFrame, mode: str = "tag", pixel_base: str = "https://www.awin1.com/sread.img", merchant: str = "0"
+    touches: DataFrame, mode: str = "tag", pixel_base: str | None = None, merchant: str = "0"
 ) -> DataFrame:
     """Conversion record of every touch, with the user as order reference.
 
     ``tag`` reads the parameters from the URL. ``stored`` has been through text storage, where a
-    missing value became the text ``undefined``. ``pixel`` adds the image URL of the stored form.
+    missing value became the text ``undefined``. ``pixel`` adds the image URL of the stored form, on
+    the network's ``pixel_base``.
     """
+    if mode == "pixel" and not pixel_base:
+        raise ValueError("a pixel needs pixel_base")
 
     def param(name: str) -> Column:
         value = url_param(F.col("url"), name, "decoded", bare="true")

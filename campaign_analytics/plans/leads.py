@@ -50,7 +50,7 @@ def validate_leads(leads: DataFrame, profile: str = "full") -> DataFrame:
     )
 
 
-def lead_records(leads: DataFrame, submitted_at: str = "ts", form_tag: str = "Longterm-Customer") -> DataFrame:
+def lead_records(leads: DataFrame, form_tag: str, submitted_at: str = "ts") -> DataFrame:
     """Leads with the campaign fields of their page, the form's tag and the submit time."""
     return leads.withColumns(
         {

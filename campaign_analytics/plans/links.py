@@ -56,7 +56,7 @@ def utm_url(base: Column, campaign: Column, medium: Column, source: Column, cont
     return F.when(query == "", base).otherwise(F.concat(base, separator, query))
 
 
-def app_link(url: Column, base_url: str, campaign_suffix: str = "_2309ABST-B") -> Column:
+def app_link(url: Column, base_url: str, campaign_suffix: str) -> Column:
     """Store link carrying the page's campaign; a missing parameter is the text ``undefined``."""
 
     def param(name: str) -> Column:
@@ -72,10 +72,14 @@ def app_link(url: Column, base_url: str, campaign_suffix: str = "_2309ABST-B") -
     )
 
 
-def app_links(job_views: DataFrame, base_url: str) -> DataFrame:
-    """Device of every job view with its store link, or its QR link on a desktop."""
+def app_links(job_views: DataFrame, base_url: str, campaign_suffix: str) -> DataFrame:
+    """Device of every job view with its store link, or its QR link on a desktop.
+
+    ``campaign_suffix`` marks the links of these pages behind their campaign.
+    """
     device = device_type(F.col("user_agent"))
-    desktop = app_link(F.col("url"), base_url, "_2309ABST-B_QR_code")
+    desktop = app_link(F.col("url"), base_url, f"{campaign_suffix}_QR_code")
+    mobile = app_link(F.col("url"), base_url, campaign_suffix)
     return job_views.withColumn("device", device).withColumn(
-        "app_link", F.when(F.col("device") == "desktop", desktop).otherwise(app_link(F.col("url"), base_url))
+        "app_link", F.when(F.col("device") == "desktop", desktop).otherwise(mobile)
     )

@@ -28,9 +28,9 @@ class Anonymized(NamedTuple):
 
 
 def rename_map(ids: DataFrame, salt: str) -> DataFrame:
-    """Current and new external id of every user to anonymize."""
+    """Current and new external id of every user to anonymize; null ids are left out."""
     user = F.col(ids.columns[0])
-    return ids.select(user.alias("current_external_id"), pseudonym(user, salt).alias("new_external_id")).distinct()
+    return ids.select(user.alias("current_external_id"), pseudonym(user, salt).alias("new_external_id")).where(user.isNotNull()).distinct()
 
 
 def anonymize_users(
@@ -58,7 +58,7 @@ def anonymize_users(
     )
 
 
-def delete_payloads(ids: DataFrame, size: int = 50, shards: int | None = None, exact: bool = False) -> DataFrame:
-    """Deletion requests of at most 50 users each."""
-    users = ids.select(F.col(ids.columns[0]).cast("string").alias("external_id")).distinct()
-    return batch_payloads(users, "external_id", F.col("external_id"), "external_ids", size, shards, exact)
+def delete_payloads(ids: DataFrame, size: int = 50, shards: int | None = None) -> DataFrame:
+    """Deletion requests of at most 50 users each; null ids are left out."""
+    users = ids.select(F.col(ids.columns[0]).cast("string").alias("external_id")).where("external_id IS NOT NULL").distinct()
+    return batch_payloads(users, "external_id", F.col("external_id"), "external_ids", size, shards)

@@ -25,6 +25,8 @@ from ..operators.windows import (
     spread_rank,
     tail_marker,
 )
+from ..session import shared_dir
+from ..sources.sinks import write_table
 
 TALENT = "eligible_matched_talent"
 
@@ -338,9 +340,11 @@ def recommendation_payloads(
     base_url: str = "app://offers/home/feed=short_term",
     size: int = 50,
     shards: int | None = None,
-    exact: bool = False,
 ) -> DataFrame:
-    """Profile updates with category, deep link and run time, in bodies of at most 50 users."""
+    """Profile updates with category, deep link and run time, in bodies of at most 50 users.
+
+    Talents without a user cannot be addressed: they are in ``without_user`` and in no body.
+    """
     keyed = deep_links.withColumn(
         "_suffix",
         F.when(
@@ -348,8 +352,9 @@ def recommendation_payloads(
             F.concat(F.lit(f"{base_url}&category="), F.col("category_key")),
         ),
     )
+    addressed = recommended.where("user_uuid IS NOT NULL")
     linked = map_lookup(
-        recommended, "job_category_key", keyed, "job_category", "_suffix", "deep_link", F.lit(base_url)
+        addressed, "job_category_key", keyed, "job_category", "_suffix", "deep_link", F.lit(base_url)
     ).withColumn("_key", F.concat_ws("|", "user_uuid", "job_category_key"))
     record = F.struct(
         F.col("user_uuid").alias("external_id"),
@@ -357,4 +362,14 @@ def recommendation_payloads(
         F.col("deep_link").alias("rca_deep_link"),
         F.lit(run_ts).alias("is_rca_date"),
     )
-    return batch_payloads(linked, "_key", record, "attributes", size, shards, exact)
+    if shards is None:
+        # Numbering reads its input twice; the recommendation is computed once.
+        path = shared_dir(linked.sparkSession, "payload-rows")
+        write_table(linked.select("_key", "user_uuid", "job_category_key", "deep_link"), path)
+        linked = linked.sparkSession.read.parquet(path)
+    return batch_payloads(linked, "_key", record, "attributes", size, shards)
+
+
+def without_user(recommended: DataFrame) -> DataFrame:
+    """Recommendations that no body carries, as their talent has no user."""
+    return recommended.where("user_uuid IS NULL")

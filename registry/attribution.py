@@ -56,7 +56,9 @@ MEDIUM = [None, "sem", "pfm", "cpm", "cpad", "cpc", "organic", None, None, None,
 AWC = [None, None, None, None, None, None, None, None, "55_1", None, "77", None, None]
 SOURCES = ["google_ads", "facebook_ads", "indeed_ads", "stepstone_ads", "organic_social", "organic_search",
            "website_clickout"]
-DEFAULT_LINK = "https://app.adjust.com/default"
+PIXEL = "https://pixel.example.com/sread.img"
+LINK_HOST = "https://links.example.com/"
+DEFAULT_LINK = "https://links.example.com/default"
 
 
 def _classified(**columns):
@@ -104,24 +106,36 @@ def page_urls(spark, d):
 
 
 def _trackers(spark, d):
-    source = by_index(SOURCES, "n_nationkey")
+    source = by_index(SOURCES, "n_nationkey % 7")
     return read(spark, d, "nation").select(
         source.alias("source"),
         F.concat(F.lit("and"), F.col("n_nationkey").cast("string")).alias("android"),
         F.concat(F.lit("ios"), F.col("n_nationkey").cast("string")).alias("ios"),
-    ).where(F.col("source").isNotNull())
+    )
+
+
+# Put behind the pages' URLs: a bad escape, a parameter in the fragment, a repeated key, blanks, a bare key.
+TAILS = ["gclid=50%off", "x=1#/y?gclid=frag", "gclid=a%20b&gclid=second", "gclid=a+b%2Bc?", "gclid", "xgclid=1"]
+
+
+def search_params(spark, d):
+    url = F.col("url")
+    joined = F.concat(url, F.when(F.instr(url, "?") > 0, "&").otherwise("?"), by_index(TAILS, "page_id % 6"))
+    return read(spark, d, "pages").select(
+        "page_id", *[urls.url_param(joined, name, "search_params").alias(name) for name in ("gclid", "utm_source")]
+    )
 
 
 def tracker_link(variant):
     def run(spark, d):
-        out = plan.tracker_link(touches(spark, d), _trackers(spark, d), variant)
+        out = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST, variant)
         return out.select("event_id", "source", "tracker_url")
 
     return run
 
 
 def sticky_tracker(spark, d):
-    links = plan.tracker_link(touches(spark, d), _trackers(spark, d))
+    links = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST)
     known = links.withColumn("tracker_url", F.when(F.col("source").endswith("_ads"), F.col("tracker_url")))
     return plan.sticky_tracker(known, DEFAULT_LINK)
 
@@ -143,7 +157,7 @@ def page_event(spark, d):
 
 
 def affiliate_conversions(mode):
-    return lambda spark, d: plan.affiliate_conversions(touches(spark, d), mode, merchant="77")
+    return lambda spark, d: plan.affiliate_conversions(touches(spark, d), mode, PIXEL, "77")
 
 
 QUERIES = {
@@ -164,6 +178,7 @@ QUERIES = {
     "first_touch": first_touch("signup"),
     "first_touch_website": first_touch("website"),
     "channel_counts": channel_counts,
+    "search_params": search_params,
     "tracker_link": tracker_link("constant"),
     "tracker_link_term": tracker_link("term"),
     "sticky_tracker": sticky_tracker,
@@ -191,22 +206,31 @@ def _tracker(by_ref, tail_own, tail_paid):
     term = sql_index([v if v else "undefined" for v in [None] * 4 + ["t1"] + [None] * 8], _URL)
     return {
         "tracker_stage": f"""
-    SELECT event_id, user_id, ts, source, 'https://app.adjust.com/and' || spot || '_ios' || spot || '?campaign=' ||
+    SELECT event_id, user_id, ts, source, '{LINK_HOST}and' || ids.n || '_ios' || ids.n || '?campaign=' ||
            CASE WHEN spot >= 4 THEN url || '&adgroup=' || coalesce(referrer, '') || '{tail_own}'
                 ELSE coalesce({_param("utm_campaign", "decoded")}, 'undefined') || '&adgroup=' ||
                      coalesce({_param("utm_content", "decoded")}, 'undefined') || {tail_paid or "'&creative=' || " + term}
            END AS tracker_url
     FROM (SELECT *, list_position({SOURCES!r}, source) - 1 AS spot
-          FROM (SELECT *, {_source(BY_URL_LEGACY, by_ref)} AS source FROM touches))"""
+          FROM (SELECT *, {_source(BY_URL_LEGACY, by_ref)} AS source FROM touches))
+    JOIN (SELECT n_nationkey % 7 AS place, arg_max('' || n_nationkey, 'and' || n_nationkey) AS n
+          FROM nation GROUP BY place) ids ON place = spot"""
     }
 
 
-_CONSTANT = _tracker(BY_REF_EQUAL, "&creative=wp-qrcode", "'&creative=wp-qrcode'")
+_CONSTANT = _tracker(BY_REF_EQUAL, "&creative=qr", "'&creative=qr'")
 _STORED = f"coalesce({sql_index(['partner' if 'first_ref' in u else None for u in URLS], _URL)}, {sql_index(LABELS, _REF)})"
 _CONVERSION = """'1' AS amount, 'aw' AS channel, 'Default:1' AS parts, 'EUR' AS currency, 'null' AS voucher,
     '1' AS test"""
 _TRUE_SOURCE = sql_index(["true" if v == "Unknown" else v for v in PARAMS["utm_source", "decoded"]], _URL)
 
+
+
+def _search_param(name):
+    return f"""CASE WHEN regexp_matches(q, '&{name}(=|&|$)') THEN url_decode(replace(substr(
+        regexp_extract(q, '(&{name}(=[^&]*)?)(&|$)', 1), {len(name) + 3}), '+', ' ')) END AS {name}"""
+
+
 ORACLE = {
     "channel_detail": _labels(channel_detail=sql_index(DETAILS, _SLOT)),
     "channel_detail_inline": _labels(channel_detail=sql_index(INLINE_DETAILS, _SLOT)),
@@ -260,6 +284,11 @@ ORACLE = {
                       FROM touches GROUP BY user_id) ON owner = user_id))
     GROUP BY ALL"""
     ),
+    "search_params": f"""
+    SELECT page_id, {_search_param("gclid")}, {_search_param("utm_source")}
+    FROM (SELECT page_id, '&' || regexp_extract(split_part(u, '#', 1), '\\?(.*)$', 1) AS q
+          FROM (SELECT page_id, url || CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END || {sql_index(TAILS, "page_id % 6")} AS u
+                FROM pages))""",
     "tracker_link": with_tables("SELECT event_id, source, tracker_url FROM tracker_stage", _CONSTANT),
     "tracker_link_term": with_tables(
         "SELECT event_id, source, tracker_url FROM tracker_stage", _tracker(BY_REF_VIDEO, "", None)
@@ -285,7 +314,7 @@ ORACLE = {
         {sql_index(AWC, _URL)} AS awc_param FROM touches"""
     ),
     "affiliate_conversions_pixel": with_tables(
-        f"""SELECT *, 'https://www.awin1.com/sread.img?tt=ss&tv=2&merchant=77&amount=1&ch=aw&parts=DEFAULT:1&ref=' ||
+        f"""SELECT *, '{PIXEL}?tt=ss&tv=2&merchant=77&amount=1&ch=aw&parts=DEFAULT:1&ref=' ||
         order_ref || '&vc=0&cr=EUR&testmode=1&cks=' || awc_param AS pixel_url FROM (
         SELECT event_id, user_id AS order_ref, {_CONVERSION}, coalesce({_TRUE_SOURCE}, 'undefined') AS source,
         coalesce({sql_index(MEDIUM, _URL)}, 'undefined') AS medium,

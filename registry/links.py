@@ -144,7 +144,7 @@ def link_page(spark, d):
 
 
 def app_link(spark, d):
-    return plan.app_links(touches(spark, d), "https://app.adjust.com/store").select("event_id", "device", "app_link")
+    return plan.app_links(touches(spark, d), "https://links.example.com/store", "_spring").select("event_id", "device", "app_link")
 
 
 QUERIES = {
@@ -207,7 +207,7 @@ ORACLE = {
         _BUILT,
     ),
     "app_link": with_tables(
-        f"""SELECT event_id, device, 'https://app.adjust.com/store?campaign=' || {_param("utm_campaign")} || '_2309ABST-B' ||
+        f"""SELECT event_id, device, 'https://links.example.com/store?campaign=' || {_param("utm_campaign")} || '_spring' ||
         CASE WHEN device = 'desktop' THEN '_QR_code' ELSE '' END || '&adgroup=' || {_param("utm_content")} ||
         '&creative=' || {_param("utm_term")} AS app_link
         FROM (SELECT *, {sql_index(DEVICES, "event_id % 5")} AS device FROM touches)"""

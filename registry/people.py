@@ -52,13 +52,13 @@ def _leaving(spark, d):
 
 def _anonymized(part):
     def run(spark, d):
-        return getattr(privacy.anonymize_users(_people(spark, d), _leaving(spark, d), SALT, shards=16), part)
+        return getattr(privacy.anonymize_users(_people(spark, d), _leaving(spark, d), SALT), part)
 
     return run
 
 
-def delete_payloads(exact):
-    return lambda spark, d: privacy.delete_payloads(_leaving(spark, d), shards=8, exact=exact)
+def delete_payloads(shards):
+    return lambda spark, d: privacy.delete_payloads(_leaving(spark, d), shards=shards)
 
 
 def suppressed(spark, d):
@@ -97,7 +97,7 @@ def validate_leads(profile):
 
 
 def lead_records(spark, d):
-    out = lead_plan.lead_records(_leads(spark, d))
+    out = lead_plan.lead_records(_leads(spark, d), "lead-form")
     return out.select("lead_id", *lead_plan.URL_FIELDS, "utm_adgroup", "datetime")
 
 
@@ -117,8 +117,8 @@ QUERIES = {
     "rename_map": _anonymized("rename_map"),
     "anonymize_payloads": _anonymized("update_payloads"),
     "rename_payloads": _anonymized("rename_payloads"),
-    "delete_payloads": delete_payloads(False),
-    "delete_payloads_exact": delete_payloads(True),
+    "delete_payloads": delete_payloads(8),
+    "delete_payloads_exact": delete_payloads(None),
     "suppress": suppressed,
     "validate_leads": validate_leads("full"),
     "validate_leads_short": validate_leads("short"),
@@ -127,6 +127,17 @@ QUERIES = {
 }
 
 
+def _exact_payload_sql(root, record):
+    return with_tables(
+        f"""
+    SELECT 0 AS shard, seat // 50 AS batch_no, count(*) AS records,
+           CAST(to_json({{'{root}': list({record} ORDER BY seat)}}) AS VARCHAR) AS payload
+    FROM (SELECT id, row_number() OVER (ORDER BY CAST('0x' || substr(sha256(id), 1, 8) AS BIGINT) % 65536, id) - 1 AS seat
+          FROM leaving) GROUP BY ALL""",
+        SQL,
+    )
+
+
 def _payload_sql(root, record, shards, key="id"):
     return with_tables(
         f"""
@@ -180,19 +191,12 @@ ORACLE = {
     "rename_map": with_tables(
         f"SELECT id AS current_external_id, {_NEW_ID} AS new_external_id FROM leaving", SQL
     ),
-    "anonymize_payloads": _payload_sql("attributes", _BODY, 16),
-    "rename_payloads": _payload_sql(
-        "external_id_renames", f"{{'current_external_id': id, 'new_external_id': {_NEW_ID}}}", 16
+    "anonymize_payloads": _exact_payload_sql("attributes", _BODY),
+    "rename_payloads": _exact_payload_sql(
+        "external_id_renames", f"{{'current_external_id': id, 'new_external_id': {_NEW_ID}}}"
     ),
     "delete_payloads": _payload_sql("external_ids", "id", 8),
-    "delete_payloads_exact": with_tables(
-        """
-    SELECT 0 AS shard, seat // 50 AS batch_no, count(*) AS records,
-           CAST(to_json({'external_ids': list(id ORDER BY seat)}) AS VARCHAR) AS payload
-    FROM (SELECT id, row_number() OVER (ORDER BY CAST('0x' || substr(sha256(id), 1, 8) AS BIGINT) % 65536, id) - 1 AS seat
-          FROM leaving) GROUP BY ALL""",
-        SQL,
-    ),
+    "delete_payloads_exact": _exact_payload_sql("external_ids", "id"),
     "suppress": with_tables("SELECT * FROM people WHERE external_id NOT IN (SELECT id FROM leaving)", SQL),
     "validate_leads": _leads_sql(
         f"""
@@ -212,7 +216,7 @@ ORACLE = {
     ),
     "lead_records": _leads_sql(
         f"""SELECT lead_id, {", ".join(_form(name) for name in lead_plan.URL_FIELDS)},
-        'Longterm-Customer' AS utm_adgroup, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS datetime FROM lead_rows"""
+        'lead-form' AS utm_adgroup, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS datetime FROM lead_rows"""
     ),
     "greeting": f"""
     SELECT c_custkey, CASE WHEN trim(coalesce(n, '')) = '' THEN 'Hey,' ELSE 'Hey ' || n || ',' END AS greeting,

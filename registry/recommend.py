@@ -66,7 +66,7 @@ def recommendation_payloads(spark, d):
             "category_key"
         ),
     )
-    return plan.recommendation_payloads(recommend_category(spark, d), links, RUN_TS, shards=16)
+    return plan.recommendation_payloads(recommend_category(spark, d), links, RUN_TS)
 
 
 QUERIES = {
@@ -197,18 +197,19 @@ ORACLE = {
     "recommend_category": with_tables("SELECT * FROM recommended_stage", STAGES),
     "recommendation_payloads": with_tables(
         f"""
-    SELECT shard, batch_no, count(*) AS records,
+    SELECT 0 AS shard, batch_no, count(*) AS records,
            CAST(to_json({{'attributes': list({{'external_id': user_uuid, 'rca_job_category': job_category_key,
                'rca_deep_link': 'app://offers/home/feed=short_term' || CASE WHEN job_category_id % 5 <> 0
                    THEN '&category=key-' || lower(job_category_key) ELSE '' END,
                'is_rca_date': '{RUN_TS}'}} ORDER BY seat)}}) AS VARCHAR) AS payload
-    FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY k) AS seat,
-                 (row_number() OVER (PARTITION BY shard ORDER BY k) - 1) // 50 AS batch_no
-          FROM (SELECT *, CAST(('0x' || substr(sha256(k), 1, 8))::BIGINT % 16 AS INTEGER) AS shard
+    FROM (SELECT *, row_number() OVER (ORDER BY bucket, k) AS seat,
+                 (row_number() OVER (ORDER BY bucket, k) - 1) // 50 AS batch_no
+          FROM (SELECT *, CAST(('0x' || substr(sha256(k), 1, 8))::BIGINT % 65536 AS INTEGER) AS bucket
                 FROM (SELECT *, concat_ws('|', user_uuid, job_category_key) AS k
                       FROM recommended_stage LEFT JOIN dim_job_category
-                           ON job_category_name = job_category_key)))
-    GROUP BY shard, batch_no""",
+                           ON job_category_name = job_category_key
+                      WHERE user_uuid IS NOT NULL)))
+    GROUP BY batch_no""",
         STAGES,
     ),
 }

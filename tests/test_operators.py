@@ -12,14 +12,14 @@ from campaign_analytics.plans import experiments, feeds, privacy, reviews, surve
 from campaign_analytics.sources import jobs, reports, sinks
 
 
-@pytest.mark.parametrize(("n", "exact"), [(0, False), (1, False), (137, False), (50, True), (137, True), (500, True)])
-def test_batches_hold_every_record_once(spark, n, exact):
+@pytest.mark.parametrize(("n", "shards"), [(0, 4), (1, 4), (137, 4), (50, None), (137, None), (500, None)])
+def test_batches_hold_every_record_once(spark, n, shards):
     df = spark.range(n).select(F.col("id").cast("string").alias("id"))
-    out = payloads.batch_payloads(df, "id", F.struct("id"), "users", size=50, shards=4, exact=exact).collect()
+    out = payloads.batch_payloads(df, "id", F.struct("id"), "users", size=50, shards=shards).collect()
     bodies = [json.loads(r.payload)["users"] for r in out]
     assert [len(b) for b in bodies] == [r.records for r in out] and all(1 <= len(b) <= 50 for b in bodies)
     assert sorted(int(u["id"]) for b in bodies for u in b) == list(range(n))
-    if exact:
+    if shards is None:
         assert len(bodies) == -(-n // 50)
 
 

@@ -225,7 +225,7 @@ def test_ranking_does_not_depend_on_the_revenue_factor(tables):
 
 
 def test_payload_links(spark):
-    rows = [(1, "u1", "r", "c", "Bar"), (2, "u2", "r", "c", "Empty"), (3, "u3", "r", "c", None)]
+    rows = [(1, "u1", "r", "c", "Bar"), (2, "u2", "r", "c", "Empty"), (3, "u3", "r", "c", None), (4, None, "r", "c", "Bar")]
     df = spark.createDataFrame(
         rows, "talent_id long, user_uuid string, matching_region_name string, employment_city string, job_category_key string"
     )
@@ -239,3 +239,4 @@ def test_payload_links(spark):
         ("u2", "Empty", "app://x", "2024-01-31 12:00:00"),
         ("u3", None, "app://x", "2024-01-31 12:00:00"),
     ]
+    assert [r.talent_id for r in plan.without_user(df).collect()] == [4]

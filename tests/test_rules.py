@@ -60,11 +60,11 @@ def test_channel_rules(spark):
 
 
 def test_channel_groups_outside_the_rules(spark):
-    details = [("Misc. Referral Traffic",), ("Self Referring",), (None,), ("Linkedin Paid",), ("growth testing",)]
+    details = [("Misc. Refferal Traffic",), ("Misc. Referral Traffic",), ("Self Referring",), (None,), ("Linkedin Paid",), ("growth testing",)]
     got = values(
         spark, "d string", details, attribution.channel(F.col("d")), attribution.channel(F.col("d"), "inline")
     )
-    assert got == [(None, None), (None, None), (None, None), ("Paid Social", None), (None, None)]
+    assert got == [("Unknown/organic",) * 2, (None, None), (None, None), (None, None), ("Paid Social", None), (None, None)]
 
 
 SOURCES = [
@@ -145,6 +145,25 @@ def test_url_param(spark, url, decoded, form, nullable):
     assert values(spark, "u string", [(url,)], *styles) == [(decoded, form, nullable)]
 
 
+@pytest.mark.parametrize(
+    ("url", "value"),
+    [
+        ("https://e.com/?a=50%off", "50%off"),
+        ("https://e.com/?a=%C3%A4+%2B%", "ä +%"),
+        ("https://e.com/#/x?a=frag", None),
+        ("https://e.com/?b=1#?a=frag", None),
+        ("https://e.com/?b=1?a=2", None),
+        ("https://e.com/?a=1&a=2", "1"),
+        ("https://e.com/?b&a&c=1", ""),
+        ("https://e.com/?a=p=q?r", "p=q?r"),
+        ("https://e.com/", None),
+        (None, None),
+    ],
+)
+def test_search_params(spark, url, value):
+    assert values(spark, "u string", [(url,)], urls.url_param(F.col("u"), "a", "search_params")) == [(value,)]
+
+
 def test_malformed_escape_gives_no_value(spark):
     styles = [urls.url_param(F.col("u"), "a", style) for style in ("decoded", "form", "nullable")]
     assert values(spark, "u string", [("https://e.com/?a=%zz",)], *styles) == [(None, "", None)]
