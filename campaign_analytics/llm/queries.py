@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decode, encode
 from .decontaminate import contaminated_spans
+from .fill_middle import fill_in_middle, restore
 from .html_extract import extract_main_text
 from .html_extract import train as train_extractor
 from .language_id import held_out, identify, train
@@ -15,6 +17,7 @@ from .mixing import mix_plan
 from .near_vectors import near_vectors
 from .oracle import ORACLE
 from .pii import KINDS, base_spans, find_pii, span_list
+from .spelling import spelling_variants, word_counts
 from .substring_dedup import remove_repeats
 from .url_filter import canonical_url, host_and_path, judge_urls
 
@@ -91,6 +94,36 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = restore(fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return docs.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), slip_every=199))
+
+
 QUERIES = {
     "op1_vectors": op1_vectors,
     "op2_substrings": op2_substrings,
@@ -102,6 +135,9 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_html": op9_html,
     "op10_mixing": op10_mixing,
+    "op11_bpe": op11_bpe,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_spelling": op13_spelling,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
