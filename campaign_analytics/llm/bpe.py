@@ -13,7 +13,6 @@ space; other files are refused.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +27,17 @@ from .words import CHUNK
 # Fixed value: the pattern that cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Letters and digits that Unicode has after version 16. The vocabularies' library does not know them as
+# such, the pattern engine does.
+NEWER = """
+    558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF
+    10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F
+    12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2
+    18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF
+    1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E
+    2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+
 NO_PAIR = np.int32(2**31 - 1)
 KNOWN_WORDS = 1 << 18  # words a task remembers
 WORK = 1 << 22  # bytes of new words merged together; one longer word is worked on alone
@@ -81,7 +91,6 @@ class Vocabulary:
 
         self.added = added
         self.added_pattern = "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True))
-        self.newer = _newer_letters()
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, ``NO_PAIR`` where they do not merge."""
@@ -91,15 +100,9 @@ class Vocabulary:
 
 
 def _newer_letters() -> str:
-    """Letters and digits that the pattern engine knows and Unicode as the vocabulary's library has it does not.
-
-    Given as a pattern class, found by comparing the engine with Python's own tables, which agree with that library.
-    """
-    found = regex.compile(r"[\p{L}\p{N}]")
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn"]
-    points = np.array([c for c in points if found.match(chr(c))], np.int64)
-    runs = np.split(points, np.flatnonzero(np.diff(points) != 1) + 1) if len(points) else []
-    return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in runs)
+    """The ranges of ``NEWER`` as the inside of a pattern class."""
+    ends = [(r.partition("-")[0], r.rpartition("-")[2]) for r in NEWER.split()]
+    return "".join(f"\\U{first:0>8}-\\U{last:0>8}" for first, last in ends)
 
 
 def merge_rounds(data: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -175,12 +178,12 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.pattern = regex.compile(PATTERN)
-        newer = vocabulary.newer
-        self.newer = regex.compile(f"[{newer}]") if newer else None
+        newer = _newer_letters()
+        self.newer = regex.compile(f"[{newer}]")
         exact = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"(?:[^\\s\\p{{L}}\\p{{N}}]|[{newer}])")
         for kind in (r" ?\p{L}+", r" ?\p{N}+"):
             exact = exact.replace(kind, f" ?(?:(?![{newer}]){kind[2:-1]})+")
-        self.exact = regex.compile(exact) if newer else self.pattern
+        self.exact = regex.compile(exact)
         self.special = regex.compile(f"({vocabulary.added_pattern})") if vocabulary.added else None
         self._forget()
 
@@ -194,7 +197,7 @@ class Encoder:
         try:
             piece.encode("latin-1")  # by far the fastest test, and true of most texts
         except UnicodeEncodeError:
-            return self.newer is not None and self.newer.search(piece) is not None
+            return self.newer.search(piece) is not None
         return False
 
     def _words(self, text: str) -> Iterator[list[str]]:

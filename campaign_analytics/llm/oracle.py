@@ -130,4 +130,62 @@ SELECT doc_id, size, source_size, target,
 FROM ranked JOIN rates USING (key)
 """
 
-ORACLE = {"op1_vectors": OP1, "op2_substrings": OP2, "op6_minhash": OP6, "op8_urls": OP8, "op10_mixing": OP10}
+OP12 = """
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || left(t, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+                        WHEN 'spm' THEN '<S>' || substr(t, b + 1) || '<P>' || left(t, a) || '<M>' || substr(t, a + 1, b - a)
+                        ELSE t END) AS output_sha256, sha256(t) AS restored_sha256
+FROM (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+      FROM (SELECT doc_id, t, length(t) AS n, ('0x' || substr(s, 1, 8))::BIGINT AS h1, ('0x' || substr(s, 9, 8))::BIGINT AS h2,
+                   ('0x' || substr(s, 17, 8))::BIGINT AS h3, ('0x' || substr(s, 25, 8))::BIGINT AS h4
+            FROM (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS s FROM documents)))
+"""
+
+# The checksum is the common CRC-32, byte by byte over the UTF-8 of the key and the word, by a table made from its rule.
+OP13 = r"""
+WITH RECURSIVE crc(i, c, step) AS (
+    SELECT i, CAST(i AS BIGINT), 0 FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE step = 8),
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x:
+               CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [CAST(192 + (ord(x) >> 6) AS BIGINT), 128 + (ord(x) & 63)] END))),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM runs, crc_table),
+words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+gaps AS (
+    SELECT word, n, unnest(list_transform(range(0, length(word) + 1), lambda i: left(word, i) || substr(word, i + 2))) AS gap, length(word) AS l FROM words),
+near AS (
+    SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.word <> b.word
+    WHERE levenshtein(a.word, b.word) = 1),
+best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS other_n, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word),
+forms AS (
+    SELECT w.word, CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form, w.n, coalesce(b.n_near, 0) AS n_near,
+           CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word),
+chain(word, spot) AS (
+    SELECT word, form FROM forms WHERE form IS NOT NULL
+    UNION ALL
+    SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.spot WHERE f.form IS NOT NULL),
+last AS (SELECT c.word, c.spot FROM chain c JOIN forms f ON f.word = c.spot WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(l.spot, f.word) AS root, f.n, f.n_near, f.form_n FROM forms f LEFT JOIN last l ON l.word = f.word
+"""
+
+ORACLE = {
+    "op1_vectors": OP1,
+    "op2_substrings": OP2,
+    "op6_minhash": OP6,
+    "op8_urls": OP8,
+    "op10_mixing": OP10,
+    "op12_fill_middle": OP12,
+    "op13_spelling": OP13,
+}
