@@ -162,10 +162,14 @@ words AS (
     SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
     FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
 gaps AS (
-    SELECT word, n, unnest(list_transform(range(0, length(word) + 1), lambda i: left(word, i) || substr(word, i + 2))) AS gap, length(word) AS l FROM words),
+    SELECT word, n, length(word) AS l, i, left(word, i) || substr(word, i + 2) AS gap
+    FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
 near AS (
-    SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.word <> b.word
-    WHERE levenshtein(a.word, b.word) = 1),
+    SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (gap, l, i) WHERE a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM words a JOIN gaps b ON b.gap = a.word
+    UNION
+    SELECT b.word, a.word, a.n FROM words a JOIN gaps b ON b.gap = a.word),
 best AS (
     SELECT word, count(*) AS n_near, max(other_n) AS other_n, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word),
 forms AS (
