@@ -1,8 +1,9 @@
 """Spelling variants: words of a corpus that differ by one letter, and the usual form of each.
 
-Words are arranged in a trie whose levels are the words' counts of successive letter groups. One inserted, deleted or
-replaced letter changes these counts by a surplus of at most one and a deficit of at most one, so a depth-first search
-that may spend one of each reaches every near word; words at the leaves are then verified letter by letter.
+Words are arranged in a trie whose levels are the words' counts of successive letter groups: a few wide groups first,
+then many narrow ones. One inserted, deleted or replaced letter changes the counts of either grouping by a surplus of
+at most one and a deficit of at most one, so a depth-first search that may spend one of each, anew for the narrow
+groups, reaches every near word; words at the leaves are then verified letter by letter.
 
 The top levels of the trie deal the words out: a word is a member of one shard and is asked of every shard within its
 budget. How many levels that takes follows from the measured sizes of the subtrees. Where a shard still holds too many
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import cut, stored
 
 LETTERS = "[A-Za-zÀ-ÿ]"
-GROUPS = 8  # levels of the trie: a letter belongs to the group of its code point modulo this
+WIDE_GROUPS, NARROW_GROUPS = 8, 16  # a letter belongs to the groups of its code point modulo these
 CELL = 8192  # members, and questions, that meet in one step of a task
 SLICE = 1 << 20  # characters of a text searched at a time
 HELD = 1 << 17  # distinct words a task holds before it passes its counts on
@@ -85,12 +86,17 @@ def word_counts(
     return partial.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_n)
 
 
-def group_counts(words: list[str]) -> np.ndarray:
+def group_counts(words: list[str], groups: int) -> np.ndarray:
     """How many letters of each group every word has, one row a word."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    flat = np.bincount(owner * GROUPS + points % GROUPS, minlength=len(words) * GROUPS)
-    return flat.reshape(len(words), GROUPS).astype(np.int32)
+    flat = np.bincount(owner * groups + points % groups, minlength=len(words) * groups)
+    return flat.reshape(len(words), groups).astype(np.int32)
+
+
+def levels_of(words: list[str]) -> np.ndarray:
+    """The path of every word through the trie."""
+    return np.hstack([group_counts(words, WIDE_GROUPS), group_counts(words, NARROW_GROUPS)])
 
 
 def _packed(counts: np.ndarray) -> pa.Array:
@@ -107,7 +113,7 @@ def _unpacked(column: pa.Array) -> np.ndarray:
 def _with_vectors(words: DataFrame) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("vector", _packed(group_counts(batch.column(0).to_pylist())))
+            yield batch.append_column("vector", _packed(group_counts(batch.column(0).to_pylist(), WIDE_GROUPS)))
 
     return words.select("word", "n").mapInArrow(add, "word string, n long, vector binary")
 
@@ -117,12 +123,12 @@ def _prefix(levels: int) -> Column:
 
 
 def shard_levels(vocabulary: DataFrame) -> int:
-    """The least number of top levels whose largest subtree fits a cell; all of them where none does."""
+    """The least number of top levels whose largest subtree fits a cell; all the wide groups where none does."""
     vectors = vocabulary.groupBy("vector").agg(F.count("*").alias("n"))
-    levels = F.explode(F.sequence(F.lit(1), F.lit(GROUPS))).alias("levels")
+    levels = F.explode(F.sequence(F.lit(1), F.lit(WIDE_GROUPS))).alias("levels")
     subtrees = vectors.select("n", "vector", levels).groupBy("levels", F.expr("substring(vector, 1, 4 * levels)"))
     largest = subtrees.agg(F.sum("n").alias("n")).groupBy("levels").agg(F.max("n").alias("n")).collect()
-    return min([r.levels for r in largest if r.n <= CELL], default=GROUPS)
+    return min([r.levels for r in largest if r.n <= CELL], default=WIDE_GROUPS)
 
 
 def reachable(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,13 +155,11 @@ def _dealt(vocabulary: DataFrame, levels: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, shards = reachable(_unpacked(batch.column(2))[:, :levels])
-            rows = pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [_packed(shards), *[c.take(rows) for c in batch.columns]], ["shard", "word", "n", "vector"]
-            )
+            columns = [_packed(shards), *[c.take(pa.array(rows)) for c in batch.columns[:2]]]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "word", "n"])
 
-    members = vocabulary.select(_prefix(levels).alias("shard"), "word", "n", "vector", F.lit(0).alias("role"))
-    asked = vocabulary.mapInArrow(ask, "shard binary, word string, n long, vector binary").withColumn("role", F.lit(1))
+    members = vocabulary.select(_prefix(levels).alias("shard"), "word", "n", F.lit(0).alias("role"))
+    asked = vocabulary.mapInArrow(ask, "shard binary, word string, n long").withColumn("role", F.lit(1))
     sizes = members.groupBy("shard").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     known = asked.join(sizes, "shard")  # a prefix that no word has is no shard
     times = known.groupBy("shard").agg(F.ceil(F.count("*") / CELL).cast("int").alias("turns"))
@@ -172,7 +176,6 @@ def _dealt(vocabulary: DataFrame, levels: int) -> DataFrame:
         "role",
         "word",
         "n",
-        "vector",
     )
 
 
@@ -220,22 +223,24 @@ def one_letter_apart(a: str, b: str) -> bool:
     return len(b) - len(a) == 1 and a[at:] == b[at + 1 :]
 
 
-def search(vectors: np.ndarray, asked: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (member, question) whose counts differ by a surplus and a deficit of at most one.
+def search(paths: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (member, question) whose counts differ by a surplus and a deficit of at most one in either grouping.
 
-    Members are sorted by ``vectors``: a node of the trie is a range of them that agree on the levels above. All
+    Members are sorted by their ``paths``: a node of the trie is a range of them that agree on the levels above. All
     questions descend together; at every child those go on whose budget allows the difference.
     """
 
     def descend(first: int, end: int, depth: int, alive: np.ndarray, surplus: np.ndarray, deficit: np.ndarray):
-        if depth == vectors.shape[1]:
+        if depth == paths.shape[1]:
             members = np.arange(first, end)
             some = max(1, PAIRS // len(members))
             for at in range(0, len(alive), some):
                 now = alive[at : at + some]
                 yield np.tile(members, len(now)), np.repeat(now, len(members))
             return
-        values = vectors[first:end, depth]
+        if depth == WIDE_GROUPS:
+            surplus, deficit = np.ones_like(surplus), np.ones_like(deficit)
+        values = paths[first:end, depth]
         borders = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1), end - first]
         wanted = asked[alive, depth]
         for a, b in zip(borders[:-1], borders[1:], strict=True):
@@ -245,33 +250,29 @@ def search(vectors: np.ndarray, asked: np.ndarray, level: int) -> Iterator[tuple
             if len(on):
                 yield from descend(first + a, first + b, depth + 1, alive[on], left[on], missing[on])
 
-    # Levels above the shard's own are equal for all members.
-    top = vectors[0, :level] - asked[:, :level] if len(vectors) else np.empty((0, level), np.int32)
-    surplus = 1 - np.maximum(top, 0).sum(axis=1)
-    deficit = 1 - np.maximum(-top, 0).sum(axis=1)
-    alive = np.flatnonzero((surplus >= 0) & (deficit >= 0))
-    if len(vectors) and len(alive):
-        yield from descend(0, len(vectors), level, alive, surplus[alive], deficit[alive])
+    if len(paths) and len(asked):
+        budget = np.ones(len(asked), np.int32)
+        yield from descend(0, len(paths), 0, np.arange(len(asked)), budget, budget)
 
 
 class _Members:
     """The members of one cell as a trie, and what they are asked."""
 
     def __init__(self, table: pa.Table, levels: int):
-        vectors = _unpacked(table["vector"].combine_chunks())
-        order = np.lexsort(vectors.T[::-1])
-        self.vectors, self.levels = vectors[order], levels
-        self.spelled = _Spelled(table["word"].take(pa.array(order)).to_pylist())
+        words = table["word"].to_pylist()
+        paths = levels_of(words)
+        order = np.lexsort(paths.T[::-1])
+        self.paths, self.levels = paths[order], levels
+        self.spelled = _Spelled([words[i] for i in order])
         self.n = table["n"].to_numpy()[order]
 
     def ask(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = batch.column(batch.schema.get_field_index("word")).to_pylist()
         n = batch.column(batch.schema.get_field_index("n")).to_numpy()
-        asked = _unpacked(batch.column(batch.schema.get_field_index("vector")))
-        spelled = _Spelled(words)
-        own = (asked[:, : self.levels] == self.vectors[0, : self.levels]).all(axis=1)
+        asked, spelled = levels_of(words), _Spelled(words)
+        own = (asked[:, : self.levels] == self.paths[0, : self.levels]).all(axis=1)
         held, size = [], 0
-        for pairs in search(self.vectors, asked, self.levels):
+        for pairs in search(self.paths, asked):
             held.append(pairs)
             size += len(pairs[0])
             if size >= PAIRS:
