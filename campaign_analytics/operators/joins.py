@@ -16,6 +16,27 @@ def enrich_left(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return fact.join(keyed, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
+# A side of at most this many rows is sent to every executor. Its rows should be small.
+BROADCAST_ROWS = 100_000
+
+
+def join_measured(
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", rows: int = BROADCAST_ROWS, parts: int = 16
+) -> DataFrame:
+    """Join on a key with few values, whose rows must not be gathered by it.
+
+    ``small`` is counted up to ``rows``; keep it in a table first, as it is read twice. Up to that size it is
+    broadcast and ``big`` stays where it is. A larger one is copied ``parts`` times and each of the big side's keys
+    is split by a hash of the row, so that a key with a third of all rows is worked on by as many tasks. ``how`` is
+    inner or left; null keys match nothing.
+    """
+    if small.limit(rows + 1).count() <= rows:
+        return big.join(F.broadcast(small), key, how)
+    split = big.withColumn("_part", F.pmod(F.xxhash64(*big.columns), F.lit(parts)))
+    copies = small.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return split.join(copies, [key, "_part"], how).drop("_part")
+
+
 def join_id_and_tag(
     left: DataFrame, jobs: DataFrame, id_col: str, job_id_col: str, tag_col: str = "matched_tag"
 ) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A window puts all rows of its partition into one task. The functions in the first part are meant
 for partitions whose size is bounded by dimensions. ``first_over`` and ``tail_marker`` give first-touch
-and last-rank results with map-side combining, and ``spread_rank`` ranks facts in pieces, for keys of
-any size.
+and last-rank results with map-side combining, and ``spread_rank`` ranks facts in pieces of about equal
+size, for keys of any size.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import order_value
+
 
 def _window(keys: list[str], order: list[Column] | None = None):
     window = Window.partitionBy(*keys)
@@ -64,52 +66,74 @@ def top1_ties(df: DataFrame, keys: list[str], col: str) -> DataFrame:
 
 
 def first_over(df: DataFrame, keys: list[str], value: str, order: list[str], out: str | None = None) -> DataFrame:
-    """First non-null value per key in ``order``; keys without any value keep null."""
-    at = F.when(F.col(value).isNotNull(), F.struct(*order))
-    return df.groupBy(*keys).agg(F.min_by(value, at).alias(out or value))
+    """First non-null value per key in ``order``; keys without any value keep null.
+
+    An order key and a hash of the value are reduced, on the map side first; the value of the winning row is
+    joined back. Of values equal in order, one counts.
+    """
+    at = F.when(F.col(value).isNotNull(), order_value(df, *order))
+    kept = df.select(*keys, F.col(value).alias("_value"), at.alias("_at"))
+    mark = F.xxhash64("_value")
+    won = kept.groupBy(*keys).agg(F.min("_at").alias("_first"), F.min_by(mark, "_at").alias("_mark"))
+    values = kept.where("_value IS NOT NULL").select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_value", "_at", mark.alias("_hash")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    back = won.join(values, [*same, F.col("_first") == F.col("_at"), F.col("_mark") == F.col("_hash")], "left")
+    return back.select(*keys, F.col("_value").alias(out or value)).distinct()
+
+
+# A key with more rows than this is ranked in pieces, cut at this many quantiles of its order values.
+PIECE_ROWS, PIECES = 200_000, 256
 
 
 def spread_rank(
-    df: DataFrame,
-    key: str,
-    stamp: str,
-    descending: bool,
-    then: list[Column] | None = None,
-    out: str = "rnk",
-    piece: str = "hour",
+    df: DataFrame, keys: list[str], order: str, weight: str, out: str = "rnk", piece_rows: int | None = None
 ) -> DataFrame:
-    """Rank of every row within its key by time stamp, the key split by clock hour.
+    """Rank of every row within its key by a numeric ``order`` column, least first; a row stands for ``weight`` rows.
 
-    A row's rank is its rank inside the hour plus the rows of the hours before. The hours of a key
-    are counted first, so the running total sees one row per hour of the data's time range, and a
-    key with a third of all rows is ranked by as many tasks as it has hours. Stamps are not null.
+    A key of up to ``piece_rows`` rows is one window. A larger one is cut at approximate quantiles of its order
+    values, wherever they lie: a burst within one second makes as many pieces as a year does. A row's rank is its
+    rank inside the piece plus the weight of the pieces before. Rows of equal order share a piece and a rank; bring
+    them together by an aggregate first, as no cut can part them. ``order`` and ``keys`` are not null.
     """
-    hour = F.date_trunc(piece, F.col(stamp))
-    at = F.col("_piece").desc() if descending else F.col("_piece").asc()
-    before = Window.partitionBy("_key").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    fractions = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    at_key = [F.col(k) == F.col(f"_key{i}") for i, k in enumerate(keys)]
+    large = (
+        df.groupBy(*named)
+        .agg(F.count("*").alias("_rows"), F.percentile_approx(order, fractions, F.lit(1000)).alias("_cuts"))
+        .where(F.col("_rows") > (PIECE_ROWS if piece_rows is None else piece_rows))
+        .drop("_rows")
+    )
+    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0))
+    cut = df.join(large, at_key, "left").withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(piece))
+    cut = cut.drop("_cuts", *[f"_key{i}" for i in range(len(keys))])
+    in_piece = Window.partitionBy(*keys, "_piece")
+    upto = F.sum(weight).over(in_piece.orderBy(order))  # with all rows of equal order
+    same = F.sum(weight).over(in_piece.partitionBy(*keys, "_piece", order))
+    before = Window.partitionBy(*[f"_key{i}" for i in range(len(keys))]).orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     starts = (
-        df.groupBy(F.col(key).alias("_key"), hour.alias("_piece"))
-        .agg(F.count("*").alias("_n"))
-        .select("_key", F.col("_piece").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        cut.groupBy(*named, F.col("_piece").alias("_at"))
+        .agg(F.sum(weight).alias("_n"))
+        .select(*[f"_key{i}" for i in range(len(keys))], "_at", F.sum("_n").over(before).alias("_start"))
+        .where("_start IS NOT NULL")
     )
-    order = F.col(stamp).desc() if descending else F.col(stamp).asc()
-    inside = rank_over([key, "_piece"], [order, *(then or [])])
     return (
-        df.withColumn("_piece", hour)
-        .withColumn("_inside", inside)
-        .join(starts, (F.col(key) == F.col("_key")) & (F.col("_piece") == F.col("_at")))
-        .withColumn(out, F.col("_start") + F.col("_inside"))
-        .drop("_piece", "_inside", "_key", "_at", "_start")
+        cut.withColumn("_inside", upto - same + 1)
+        .join(starts, [*at_key, F.col("_piece") == F.col("_at")], "left")
+        .withColumn(out, F.coalesce("_start", F.lit(0)) + F.col("_inside"))
+        .drop("_piece", "_inside", "_at", "_start", *[f"_key{i}" for i in range(len(keys))])
     )
 
 
-def tail_marker(
-    rows: DataFrame, owner: str, group: list[str], order_key: str, stamp: str, last: str = "max"
-) -> DataFrame:
+def tail_marker(rows: DataFrame, owner: list[str], group: list[str], order: str, stamp: str) -> DataFrame:
     """What ranking and counting all rows of an owner says about the last-ranked row.
 
-    ``rows`` has one row per fact, and the fact ranked last has the greatest (``last='max'``) or
-    the least (``'min'``) ``order_key``. Per owner and ``group`` tuple the result holds
+    ``rows`` has one row per fact, and the fact ranked last has the greatest ``order``, a value of fixed
+    width. Per owner and ``group`` tuple the result holds
 
     ``cnt``         facts of the owner
     ``group_cnt``   facts of this group tuple
@@ -119,31 +143,30 @@ def tail_marker(
     ``single``      all facts of the owner are equal in group and order
 
     A rank equal to the row count exists only for an untied last row, which is why the two passes
-    of aggregation below are enough. The first is keyed down to ``order_key`` and so spreads an
+    of aggregation below are enough. The first is keyed down to ``order`` and so spreads an
     owner of any size; the second leaves one row per group tuple, and only those meet in a window.
     """
-    outer, inner = {"max": (F.max, F.min), "min": (F.min, F.max)}[last]
-    keys = [owner, *group]
-    per_key = rows.groupBy(*keys, order_key).agg(F.count("*").alias("n"), F.max(stamp).alias("stamp"))
+    keys = [*owner, *group]
+    per_key = rows.groupBy(*keys, order).agg(F.count("*").alias("n"), F.max(stamp).alias("stamp"))
     per_group = per_key.groupBy(*keys).agg(
         F.sum("n").alias("group_cnt"),
-        outer(F.struct(order_key, "n")).alias("tail"),
-        inner(order_key).alias("head"),
+        F.max(order).alias("tail_key"),
+        F.max_by("n", order).alias("tail_n"),
+        F.min(order).alias("head"),
         F.max("stamp").alias("stamp"),
     )
-    of_owner = Window.partitionBy(owner)
-    tail_key = F.col(f"tail.{order_key}")
+    of_owner = Window.partitionBy(*owner)
     known = per_group.withColumns(
         {
             "cnt": F.sum("group_cnt").over(of_owner),
             "last_stamp": F.max("stamp").over(of_owner),
-            "owner_key": outer(tail_key).over(of_owner),
+            "owner_key": F.max("tail_key").over(of_owner),
             "tuples": F.count("*").over(of_owner),
-            "popularity": dense_rank_over([owner], [F.col("group_cnt").desc_nulls_first()]),
+            "popularity": dense_rank_over(owner, [F.col("group_cnt").desc_nulls_first()]),
         }
     )
-    at_tail = tail_key == F.col("owner_key")
-    ties = F.sum(F.when(at_tail, F.col("tail.n"))).over(of_owner)
+    at_tail = F.col("tail_key") == F.col("owner_key")
+    ties = F.sum(F.when(at_tail, F.col("tail_n"))).over(of_owner)
     return known.select(
         *keys,
         "cnt",
@@ -151,5 +174,5 @@ def tail_marker(
         "popularity",
         "last_stamp",
         (at_tail & (ties == 1)).alias("is_tail"),
-        ((F.col("tuples") == 1) & (F.col("head") == tail_key)).alias("single"),
+        ((F.col("tuples") == 1) & (F.col("head") == F.col("tail_key"))).alias("single"),
     )

@@ -1,32 +1,28 @@
 """Category recommendation: one job category per eligible talent, and its request bodies.
 
 A talent's category comes from the shifts they worked, the jobs they applied for, the jobs they
-looked at, and the revenue still unfilled in their region.
+looked at, and the revenue still unfilled in their region. Category names are not null.
 
-Talents and users identify each other: ``dim_talent`` has one ``user_uuid`` per ``talent_id`` and
-the other way round. Where several talents share a user, ``method='rank'`` gives the exact result: it
-ranks every row of a user, at the price of one more shuffle of the activity. Category names are not null.
+Activity belongs to users, and its ranks run over all rows of a user, while counts run over those of a talent.
+Mostly users and talents identify each other, and then the last rank is found by two aggregations. Where several
+talents share a user, or a talent has several users, every row of these users is ranked. ``mark_shared`` tells
+the two apart by the data; nothing has to be declared.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import within_days
-from ..operators.filters import choose_preference, positive_only, snapshot
-from ..operators.joins import enrich_left, join_id_and_tag, map_lookup
+from ..operators.filters import positive_only, snapshot
+from ..operators.joins import enrich_left, join_id_and_tag, join_measured, map_lookup
+from ..operators.ordering import order_key
 from ..operators.payloads import batch_payloads
-from ..operators.windows import (
-    dense_rank_over,
-    last_rank_marker,
-    max_over,
-    qualify,
-    spread_rank,
-    tail_marker,
-)
-from ..session import shared_dir
-from ..sources.sinks import write_table
+from ..operators.windows import dense_rank_over, last_rank_marker, max_over, qualify, spread_rank, tail_marker
+from ..sources.sinks import materialize
 
 TALENT = "eligible_matched_talent"
 
@@ -44,6 +40,30 @@ def talent_list(eligibility: DataFrame, talents: DataFrame, as_of: str) -> DataF
     ).distinct()
 
 
+def mark_shared(talents: DataFrame) -> DataFrame:
+    """Add ``shared``: whether the row's user has several talents or regions, or one of their talents several users.
+
+    Talents without a user count as sharing one. Where nobody shares, which is looked up here, the column is a
+    constant and the plans for shared users fall away.
+    """
+    if "shared" in talents.columns:
+        return talents
+    pairs = talents.select(TALENT, "user_uuid", "matching_region_name")
+
+    def several(col: str) -> Column:
+        return F.min(col) < F.max(col)
+
+    by_user = several(TALENT) | several("matching_region_name")
+    users = pairs.groupBy("user_uuid").agg(by_user.alias("several")).where("several").select("user_uuid")
+    owners = pairs.groupBy(TALENT).agg(several("user_uuid").alias("several")).where("several").select(TALENT)
+    found = users.unionByName(pairs.join(owners, TALENT, "left_semi").select("user_uuid")).distinct()
+    if found.isEmpty():
+        return talents.withColumn("shared", F.lit(False))
+    flagged = found.select(F.col("user_uuid").alias("_user"), F.lit(True).alias("_shared"))
+    joined = talents.join(flagged, F.col("user_uuid").eqNullSafe(F.col("_user")), "left").drop("_user")
+    return joined.withColumn("shared", F.col("_shared").isNotNull()).drop("_shared")
+
+
 def _names(categories: DataFrame) -> DataFrame:
     return categories.select("job_category_id", "job_category_name")
 
@@ -108,7 +128,8 @@ def activity_jobs(
     recent = activity.where(within_days(F.col(stamp), as_of, ACTIVITY_BACK, ACTIVITY_FORWARD)).select(
         "talent_uuid", "job_uuid", stamp, *extra
     )
-    owned = talents.select(TALENT, "user_uuid", "matched_tag").join(
+    flag = [c for c in ("shared",) if c in talents.columns]
+    owned = talents.select(TALENT, "user_uuid", "matched_tag", *flag).join(
         recent, F.col("user_uuid") == F.col("talent_uuid")
     )
     wanted = jobs.select("job_uuid", "mandatory_include_tags", "job_category_fk")
@@ -118,89 +139,128 @@ def activity_jobs(
     )
 
 
-def applied_preference(
-    talents: DataFrame,
-    applications: DataFrame,
-    jobs: DataFrame,
-    categories: DataFrame,
-    as_of: str,
-    method: str = "aggregate",
-) -> DataFrame:
-    """Category of the application ranked last by recency, which is the oldest one."""
-    rows = activity_jobs(talents, applications, jobs, categories, "timestamp", as_of)
-    if method == "rank":
-        return _preference_by_rank(rows, "timestamp", "applied", True, [])
-    return _preference(rows.withColumn("order_key", F.col("timestamp")), "timestamp", "applied", "min")
+def _facts(table: DataFrame, kind: str, stamp: str, order: list[str]) -> DataFrame:
+    """Applications or views in one form; the fact ranked last has the greatest ``order_key``."""
+    return table.select(
+        "talent_uuid",
+        "job_uuid",
+        F.lit(kind).alias("kind"),
+        F.col(stamp).alias("stamp"),
+        order_key(table, *order).alias("order_key"),
+    )
 
 
-def seen_preference(
-    talents: DataFrame,
-    views: DataFrame,
-    jobs: DataFrame,
-    categories: DataFrame,
-    as_of: str,
-    method: str = "aggregate",
+def applied_facts(applications: DataFrame) -> DataFrame:
+    """Applications, ranked by descending time: the oldest comes last."""
+    return _facts(applications, "applied", "timestamp", ["-timestamp"])
+
+
+def seen_facts(views: DataFrame) -> DataFrame:
+    """Views, ranked by time and, at equal times, descending count: the least repeated of the latest comes last."""
+    columns = ["last_job_details_seen", "-job_details_seen_count"]
+    return _facts(views, "seen", "last_job_details_seen", columns)
+
+
+def preferences(
+    talents: DataFrame, facts: list[DataFrame], jobs: DataFrame, categories: DataFrame, as_of: str
 ) -> DataFrame:
-    """Category of the view ranked last: the latest one, and of equal times the least repeated."""
-    stamp, count = "last_job_details_seen", "job_details_seen_count"
-    rows = activity_jobs(talents, views, jobs, categories, stamp, as_of, (count,))
-    if method == "rank":
-        return _preference_by_rank(rows, stamp, "seen", False, [F.col(count).desc_nulls_first()])
-    key = F.struct(F.col(stamp), (-F.col(count)).alias("fewest"))
-    return _preference(rows.withColumn("order_key", key), stamp, "seen", "max")
+    """For each kind of facts, the category of every talent's last-ranked one.
+
+    All kinds go through the same joins and aggregates. Columns: the talent, ``user_uuid``, ``kind``, ``cnt`` facts
+    of the talent, ``group_cnt`` of them with this category and tag, its dense rank ``popularity``, ``preference``
+    (null where the only entry does not come last), ``job_category_name``, ``matched_tag``, ``last_stamp``, ``single``.
+    """
+    marked = mark_shared(talents)
+    rows = activity_jobs(marked, reduce(DataFrame.unionByName, facts), jobs, categories, "stamp", as_of, ("kind", "order_key"))
+    return _by_tail(rows.where("NOT shared")).unionByName(_by_rank(rows.where("shared")))
 
 
-def _preference(rows: DataFrame, stamp: str, kind: str, last: str) -> DataFrame:
-    group = ["user_uuid", "matched_tag", "job_category_name"]
-    ranked = tail_marker(rows, TALENT, group, "order_key", stamp, last)
+def _by_tail(rows: DataFrame) -> DataFrame:
+    ranked = tail_marker(rows, [TALENT, "kind"], ["user_uuid", "matched_tag", "job_category_name"], "order_key", "stamp")
     return qualify(ranked, F.col("is_tail") | F.col("single")).select(
         TALENT,
         "user_uuid",
-        F.col("cnt").alias("cnt_shifts"),
-        F.col("group_cnt").alias(f"{kind}_count"),
-        F.col("popularity").alias("ranking_by_cnt"),
-        F.when(F.col("is_tail"), F.col("job_category_name")).alias(f"{kind}_preference"),
+        "kind",
+        "cnt",
+        "group_cnt",
+        "popularity",
+        F.when(F.col("is_tail"), F.col("job_category_name")).alias("preference"),
         "job_category_name",
         "matched_tag",
-        F.col("last_stamp").alias(f"last_{kind}_job"),
-        F.when(F.col("single"), F.lit(1)).alias("total_selected_row"),
+        "last_stamp",
+        F.when(F.col("single"), F.lit(1)).alias("single"),
     )
 
 
-def _preference_by_rank(rows: DataFrame, stamp: str, kind: str, descending: bool, then: list[Column]) -> DataFrame:
-    """The same from the rank of every row in its user and the row count of its talent."""
-    job = [TALENT, "job_category_name", "matched_tag"]
-    of_talent = Window.partitionBy(TALENT)
+def _by_rank(rows: DataFrame) -> DataFrame:
+    """The same from the rank of every row in its user and the row count of its talent.
+
+    Rows that agree in all that matters are counted first, so that ranks run over counts.
+    """
+    job = [TALENT, "kind", "job_category_name", "matched_tag"]
+    of_talent = Window.partitionBy(TALENT, "kind")
+    counted = rows.groupBy(*job, "user_uuid", "order_key").agg(F.count("*").alias("n"), F.max("stamp").alias("stamp"))
     per_job = (
-        rows.groupBy(*job)
-        .agg(F.count("job_uuid").alias(f"{kind}_count"), F.count("job_category_name").alias("n"), F.max(stamp).alias("s"))
+        counted.groupBy(*job)
+        .agg(F.sum("n").alias("group_cnt"), F.max("stamp").alias("s"))
         .select(
             *job,
-            f"{kind}_count",
-            F.sum("n").over(of_talent).alias("cnt_shifts"),
-            dense_rank_over([TALENT], [F.col(f"{kind}_count").desc_nulls_first()]).alias("ranking_by_cnt"),
-            F.max("s").over(of_talent).alias(f"last_{kind}_job"),
+            "group_cnt",
+            F.sum("group_cnt").over(of_talent).alias("cnt"),
+            dense_rank_over([TALENT, "kind"], [F.col("group_cnt").desc_nulls_first()]).alias("popularity"),
+            F.max("s").over(of_talent).alias("last_stamp"),
         )
     )
-    ranked = spread_rank(rows, "talent_uuid", stamp, descending, then)
-    listed = ranked.select(TALENT, "user_uuid", "job_category_name", "matched_tag", "rnk").distinct()
-    single = listed.groupBy(TALENT).agg(F.count("user_uuid").alias("n")).where("n = 1").select(TALENT, F.lit(1).alias("one"))
-    marker = last_rank_marker(F.col("cnt_shifts"), F.col("rnk"), F.col("job_category_name"))
-    marked = listed.join(per_job, job).join(single, TALENT, "left").withColumn(f"{kind}_preference", marker)
-    return qualify(marked, F.col(f"{kind}_preference").isNotNull() | F.col("one").isNotNull()).select(
+    ranked = spread_rank(counted, ["user_uuid", "kind"], "order_key", "n")
+    listed = ranked.select(*job, "user_uuid", "rnk").distinct()
+    single = listed.groupBy(TALENT, "kind").agg(F.count("*").alias("left")).where("left = 1")
+    single = single.select(TALENT, "kind", F.lit(1).alias("single"))
+    marker = last_rank_marker(F.col("cnt"), F.col("rnk"), F.col("job_category_name"))
+    marked = listed.join(per_job, job).join(single, [TALENT, "kind"], "left").withColumn("preference", marker)
+    return qualify(marked, F.col("preference").isNotNull() | F.col("single").isNotNull()).select(
+        TALENT,
+        "user_uuid",
+        "kind",
+        "cnt",
+        "group_cnt",
+        "popularity",
+        "preference",
+        "job_category_name",
+        "matched_tag",
+        "last_stamp",
+        "single",
+    )
+
+
+def _named(found: DataFrame, kind: str) -> DataFrame:
+    return found.select(
         TALENT,
         "user_uuid",
-        "cnt_shifts",
-        f"{kind}_count",
-        "ranking_by_cnt",
-        f"{kind}_preference",
+        F.col("cnt").alias("cnt_shifts"),
+        F.col("group_cnt").alias(f"{kind}_count"),
+        F.col("popularity").alias("ranking_by_cnt"),
+        F.col("preference").alias(f"{kind}_preference"),
         "job_category_name",
         "matched_tag",
-        f"last_{kind}_job",
-        F.col("one").alias("total_selected_row"),
+        F.col("last_stamp").alias(f"last_{kind}_job"),
+        F.col("single").alias("total_selected_row"),
     )
 
 
+def applied_preference(
+    talents: DataFrame, applications: DataFrame, jobs: DataFrame, categories: DataFrame, as_of: str
+) -> DataFrame:
+    """Category of the application ranked last by recency, which is the oldest one of a user of their own."""
+    return _named(preferences(talents, [applied_facts(applications)], jobs, categories, as_of), "applied")
+
+
+def seen_preference(
+    talents: DataFrame, views: DataFrame, jobs: DataFrame, categories: DataFrame, as_of: str
+) -> DataFrame:
+    """Category of the view ranked last: the latest one, and of equal times the least repeated."""
+    return _named(preferences(talents, [seen_facts(views)], jobs, categories, as_of), "seen")
+
+
 def unfulfilled_revenue(
     shifts: DataFrame,
     jobs: DataFrame,
@@ -247,27 +307,35 @@ def unfulfilled_revenue(
     )
 
 
-def eligible_preference(talents: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Category with the greatest unfilled revenue in each user's region, ties kept.
-
-    Only a region's best categories can be a user's best ones, so every region is cut down to
-    those before it meets its talents.
-    """
-    of_region = Window.partitionBy("matching_region_name")
+def _best_of_region(revenue: DataFrame) -> DataFrame:
+    """A region's categories of greatest unfilled revenue, as a small table of their own."""
+    top = Window.partitionBy("matching_region_name")
     best = (
         positive_only(revenue, "unfulfilled_revenue")
-        .withColumn("top", F.max("unfulfilled_revenue").over(of_region))
+        .withColumn("top", F.max("unfulfilled_revenue").over(top))
         .where(F.col("unfulfilled_revenue") == F.col("top"))
         .select("matching_region_name", "job_category_name", "unfulfilled_revenue")
         .distinct()
     )
-    offers = (
-        talents.select(TALENT, "user_uuid", "employment_city", "matching_region_name")
-        .join(best, "matching_region_name")
-        .distinct()
-        .withColumn("user_top", max_over(["user_uuid"], "unfulfilled_revenue"))
-    )
-    return offers.where(F.col("unfulfilled_revenue") == F.col("user_top")).select(
+    return materialize(best, "best-of-region")
+
+
+def _offers(talents: DataFrame, best: DataFrame) -> DataFrame:
+    """Talents with their region's best categories, unless their user has a better one elsewhere."""
+    people = talents.select(TALENT, "user_uuid", "employment_city", "matching_region_name", "shared").distinct()
+    offers = join_measured(people, best, "matching_region_name")
+    tops = offers.where("shared").groupBy(F.col("user_uuid").alias("_user")).agg(F.max("unfulfilled_revenue").alias("_top"))
+    joined = offers.join(tops, F.col("shared") & F.col("user_uuid").eqNullSafe(F.col("_user")), "left")
+    return joined.where("_top IS NULL OR unfulfilled_revenue = _top").drop("_user", "_top", "shared")
+
+
+def eligible_preference(talents: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Category with the greatest unfilled revenue in each user's region, ties kept.
+
+    Only a region's best categories can be a user's best ones, so every region is cut down to those before it meets
+    its talents, which stay where they are.
+    """
+    return _offers(mark_shared(talents), _best_of_region(revenue)).select(
         TALENT,
         "user_uuid",
         "employment_city",
@@ -278,31 +346,29 @@ def eligible_preference(talents: DataFrame, revenue: DataFrame) -> DataFrame:
     )
 
 
-def assemble_preferences(
-    talents: DataFrame, worked: DataFrame, applied: DataFrame, seen: DataFrame, eligible: DataFrame
-) -> DataFrame:
-    """Every talent with the category their evidence points to; ties give several rows."""
-    out = talents
-    for frame, col in [
-        (worked, "working_preference"),
-        (applied, "applied_preference"),
-        (seen, "seen_preference"),
-        (eligible, "eligible_preference"),
-    ]:
-        out = out.join(frame.select(TALENT, col).distinct(), TALENT, "left")
-    category = choose_preference(
-        F.col("working_preference"),
-        F.col("applied_preference"),
-        F.col("seen_preference"),
-        F.col("eligible_preference"),
+def _with_offer(talents: DataFrame, best: DataFrame) -> DataFrame:
+    """Every talent with ``offered``, the categories that ``eligible_preference`` gives them; null without one."""
+    alone = join_measured(talents.where("NOT shared"), best, "matching_region_name", "left")
+    sharing = talents.where("shared")
+    offers = _offers(sharing, best).select(TALENT, "job_category_name").distinct()
+    both = alone.select(*talents.columns, "job_category_name").unionByName(sharing.join(offers, TALENT, "left"))
+    return both.withColumnRenamed("job_category_name", "offered")
+
+
+# Which evidence counts first. Unfilled revenue comes after all of them.
+PRIORITY = {"applied": 1, "worked": 2, "seen": 3}
+
+
+def best_evidence(activity: DataFrame, worked: DataFrame) -> DataFrame:
+    """The categories of every talent's strongest kind of evidence: the talent and ``category``, ties kept."""
+    rank = F.create_map(*[F.lit(x) for pair in PRIORITY.items() for x in pair])
+    found = activity.where("preference IS NOT NULL").select(
+        TALENT, rank[F.col("kind")].alias("priority"), F.col("preference").alias("category")
     )
-    return out.select(
-        F.col(TALENT).alias("talent_id"),
-        "user_uuid",
-        "matching_region_name",
-        "employment_city",
-        category.alias("job_category_key"),
-    ).distinct()
+    booked = worked.select(TALENT, F.lit(PRIORITY["worked"]).alias("priority"), F.col("working_preference").alias("category"))
+    both = found.unionByName(booked)
+    ranked = both.withColumn("best", F.min("priority").over(Window.partitionBy(TALENT)))
+    return ranked.where("priority = best").select(TALENT, "category").distinct()
 
 
 def recommend_category(
@@ -310,27 +376,36 @@ def recommend_category(
     as_of: str,
     shift_as_of: str | None = None,
     parity: bool = True,
-    method: str = "aggregate",
 ) -> DataFrame:
-    """One category per eligible talent, from the warehouse tables named as in ``tables``."""
+    """One category per eligible talent, from the warehouse tables named as in ``tables``; ties give several rows.
+
+    The talents of the day and the best categories of every region are written once and read where they are needed.
+    Applications and views share their joins, and evidence of all kinds meets in one union that keeps the strongest.
+    """
     jobs, categories = tables["fact_job"], tables["dim_job_category"]
-    talents = talent_list(tables["talent_eligibility"], tables["dim_talent"], as_of)
+    listed = materialize(talent_list(tables["talent_eligibility"], tables["dim_talent"], as_of), "talents")
+    talents = mark_shared(listed)
+    facts = [applied_facts(tables["job_apply_core"]), seen_facts(tables["job_details_seen"])]
+    evidence = best_evidence(
+        preferences(talents, facts, jobs, categories, as_of),
+        worked_category(talents, tables["fact_shift"], jobs, categories),
+    )
     revenue = unfulfilled_revenue(
         tables["fact_shift"],
         jobs,
         categories,
         tables["dim_business_region"],
-        talents,
+        listed,
         shift_as_of or as_of,
         parity=parity,
     )
-    return assemble_preferences(
-        talents,
-        worked_category(talents, tables["fact_shift"], jobs, categories),
-        applied_preference(talents, tables["job_apply_core"], jobs, categories, as_of, method),
-        seen_preference(talents, tables["job_details_seen"], jobs, categories, as_of, method),
-        eligible_preference(talents, revenue),
-    )
+    return _with_offer(talents, _best_of_region(revenue)).join(evidence, TALENT, "left").select(
+        F.col(TALENT).alias("talent_id"),
+        "user_uuid",
+        "matching_region_name",
+        "employment_city",
+        F.coalesce("category", "offered").alias("job_category_key"),
+    ).distinct()
 
 
 def recommendation_payloads(
@@ -364,9 +439,7 @@ def recommendation_payloads(
     )
     if shards is None:
         # Numbering reads its input twice; the recommendation is computed once.
-        path = shared_dir(linked.sparkSession, "payload-rows")
-        write_table(linked.select("_key", "user_uuid", "job_category_key", "deep_link"), path)
-        linked = linked.sparkSession.read.parquet(path)
+        linked = materialize(linked.select("_key", "user_uuid", "job_category_key", "deep_link"), "payload-rows")
     return batch_payloads(linked, "_key", record, "attributes", size, shards)
 
 

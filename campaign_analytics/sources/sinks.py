@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_dir
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Replace (or append to) a parquet table."""
@@ -13,6 +15,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table under the shared folder: computed once, however often it is used from here on."""
+    path = shared_dir(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_extract(df: DataFrame, path: str) -> None:
     """CSV extract with a header line for people to open."""
     df.write.mode("overwrite").csv(path, header=True)

@@ -41,19 +41,39 @@ def worked_category(spark, d):
     return out.withColumns({c: day_text(c) for c in ("max_shift_category", "last_booked_shift")})
 
 
-def _preference(kind, method="aggregate"):
+def _preference(kind, ranked=False):
     def run(spark, d):
         t = recommend_tables(spark, d)
         fn, table = {
             "applied": (plan.applied_preference, "job_apply_core"),
             "seen": (plan.seen_preference, "job_details_seen"),
         }[kind]
-        out = fn(_talents(t), t[table], t["fact_job"], t["dim_job_category"], AS_OF, method)
+        talents = _talents(t)
+        if ranked:  # as if every user were shared: all rows are ranked
+            talents = talents.withColumn("shared", F.lit(True))
+        out = fn(talents, t[table], t["fact_job"], t["dim_job_category"], AS_OF)
         return out.withColumn(f"last_{kind}_job", ts_text(f"last_{kind}_job"))
 
     return run
 
 
+def _shared_tables(spark, d):
+    """Several talents to most users, and some talents without one."""
+    tables = recommend_tables(spark, d)
+    user = F.concat(F.lit("u"), (F.col("talent_id") % 199).cast("string"))
+    talents = tables["dim_talent"].withColumn("user_uuid", F.when(F.col("talent_id") % 11 != 0, user))
+    return {**tables, "dim_talent": talents}
+
+
+def recommend_category_shared_users(spark, d):
+    return plan.recommend_category(_shared_tables(spark, d), AS_OF, SHIFT_AS_OF)
+
+
+def eligible_preference_shared_users(spark, d):
+    t = _shared_tables(spark, d)
+    return plan.eligible_preference(_talents(t), _revenue(t))
+
+
 def recommend_category(spark, d):
     return plan.recommend_category(recommend_tables(spark, d), AS_OF, SHIFT_AS_OF)
 
@@ -76,9 +96,11 @@ QUERIES = {
     "worked_category": worked_category,
     "applied_preference": _preference("applied"),
     "seen_preference": _preference("seen"),
-    "applied_preference_ranked": _preference("applied", "rank"),
-    "seen_preference_ranked": _preference("seen", "rank"),
+    "applied_preference_ranked": _preference("applied", ranked=True),
+    "seen_preference_ranked": _preference("seen", ranked=True),
     "recommend_category": recommend_category,
+    "recommend_category_shared_users": recommend_category_shared_users,
+    "eligible_preference_shared_users": eligible_preference_shared_users,
     "recommendation_payloads": recommendation_payloads,
 }
 
@@ -175,15 +197,22 @@ def _preference_sql(kind):
     )
 
 
+_SHARED = {
+    **STAGES,
+    "dim_talent": """
+    SELECT c_custkey AS talent_id, CASE WHEN c_custkey % 11 <> 0 THEN 'u' || c_custkey % 199 END AS user_uuid,
+           n_name AS employment_city, r_name AS matching_region_name
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+}
+_ELIGIBLE = """SELECT talent AS eligible_matched_talent, user_uuid, city AS employment_city,
+    region AS matching_region_name, category AS eligible_preference, unfulfilled_revenue,
+    place AS eligible_ranking FROM eligible_stage"""
+
 ORACLE = {
     "unfulfilled_revenue": with_tables("SELECT * FROM revenue_stage", STAGES),
     "unfulfilled_revenue_once": with_tables("SELECT * FROM revenue_once", STAGES),
-    "eligible_preference": with_tables(
-        """SELECT talent AS eligible_matched_talent, user_uuid, city AS employment_city,
-        region AS matching_region_name, category AS eligible_preference, unfulfilled_revenue,
-        place AS eligible_ranking FROM eligible_stage""",
-        STAGES,
-    ),
+    "eligible_preference": with_tables(_ELIGIBLE, STAGES),
+    "eligible_preference_shared_users": with_tables(_ELIGIBLE, _SHARED),
     "worked_category": with_tables(
         """SELECT DISTINCT talent AS eligible_matched_talent, user_uuid, category AS working_preference,
         CAST(category_last AS VARCHAR) AS max_shift_category, recency AS rnk_shifts, days AS working_count,
@@ -195,6 +224,7 @@ ORACLE = {
     "applied_preference_ranked": _preference_sql("applied"),
     "seen_preference_ranked": _preference_sql("seen"),
     "recommend_category": with_tables("SELECT * FROM recommended_stage", STAGES),
+    "recommend_category_shared_users": with_tables("SELECT * FROM recommended_stage", _SHARED),
     "recommendation_payloads": with_tables(
         f"""
     SELECT 0 AS shard, batch_no, count(*) AS records,

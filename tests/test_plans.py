@@ -50,6 +50,22 @@ def test_windows_of_the_default_path_see_no_facts(spark):
         assert plan.rindex("Window [") < plan.index("partial_count(1)")
 
 
+def test_recommendation_reads_and_shuffles_little(spark):
+    plan = plan_of(QUERIES["recommend_category"](spark, "/root/testdata/sf0.01"))
+    assert plan.count("FileScan") <= 20
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 12
+
+
+def test_talents_are_not_gathered_by_region(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["eligible_preference"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(matching_region_name" not in plan
+    assert "BroadcastHashJoin" in plan
+
+
 def test_group_assignment_moves_no_rows(spark):
     assert "Exchange" not in plan_of(QUERIES["assign_groups"](spark, SF_DIR))
 
