@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import drop_null_dims, money_sum, sum_or_zero
+from .ordering import latest_rows
 
 
 def sum_by(df: DataFrame, dims: list[str], metrics: dict[str, str]) -> DataFrame:
@@ -74,10 +75,5 @@ def dedup_group(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest_values(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Row with the greatest ``order`` per key, other columns unchanged."""
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-        .select(*keys, "_last.*")
-    )
+    """Row with the greatest ``order`` per key, other columns unchanged. Order keys are reduced, rows are joined back."""
+    return latest_rows(df, keys, order)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import latest_rows
+
 
 def enrich_left(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows with the columns of ``dim``; unmatched rows keep nulls. The dim key is dropped."""
@@ -48,53 +50,77 @@ def join_id_and_tag(
 
 
 def dedupe_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Last row per key. Combines on the map side, so a key with many rows stays cheap."""
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col(order)).alias("_last"))
-        .select(*keys, "_last.*")
-    )
+    """Last row per key, found by its order alone before the row itself is read."""
+    return latest_rows(df, keys, [order])
+
+
+def one_per_key(table: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """A lookup table with one row per key that is not null.
+
+    Of a key's rows the last by ``order`` counts. Without an order the table may repeat rows, but a key with
+    different rows is an error when the lookup runs: which of them counts is not for chance to say.
+    """
+    known = table.where(F.col(key).isNotNull())
+    if order:
+        return latest_rows(known, [key], [order])
+    rest = [c for c in table.columns if c != key]
+    if not rest:
+        return known.distinct()
+    row = F.struct(*rest)
+    seen = known.groupBy(key).agg(F.min(row).alias("_a"), F.max(row).alias("_b"))
+    text = F.concat(F.lit(f"lookup table has different rows for {key} = "), F.col(key).cast("string"), F.lit("; name its order column"))
+    checked = F.when(F.col("_a").eqNullSafe(F.col("_b")), F.col("_a")).otherwise(F.raise_error(text))
+    return seen.select(key, checked.alias("_row")).select(key, "_row.*")
 
 
 def map_lookup(
-    df: DataFrame, key: str, table: DataFrame, table_key: str, table_value: str, out: str, default: Column
+    df: DataFrame,
+    key: str,
+    table: DataFrame,
+    table_key: str,
+    table_value: str,
+    out: str,
+    default: Column,
+    order: str | None = None,
 ) -> DataFrame:
     """Value of a lookup table, or ``default`` where it is missing or empty.
 
-    A key that the table repeats takes its greatest value, so that a lookup never adds rows.
+    A lookup never adds rows: of a repeated key the last row by ``order`` counts, see ``one_per_key``.
     """
-    lookup = table.groupBy(F.col(table_key).alias("_k")).agg(F.max(table_value).alias("_v"))
-    value = F.when(F.coalesce(F.col("_v"), F.lit("")) != "", F.col("_v")).otherwise(default)
-    return (
-        df.join(lookup, F.col(key) == F.col("_k"), "left").withColumn(out, value).drop("_k", "_v")
+    columns = list(dict.fromkeys([table_key, table_value, *([order] if order else [])]))
+    known = one_per_key(table.select(*columns), table_key, order).select(
+        F.col(table_key).alias("_k"), F.col(table_value).alias("_v")
     )
+    value = F.when(F.coalesce(F.col("_v"), F.lit("")) != "", F.col("_v")).otherwise(default)
+    return df.join(known, F.col(key) == F.col("_k"), "left").withColumn(out, value).drop("_k", "_v")
 
 
 def platform_channel(platform: str = "platform", channel: str = "channel") -> Column:
     return F.concat(F.col(platform), F.lit(" - "), F.col(channel))
 
 
-def tracker_lookup(requests: DataFrame, trackers: DataFrame) -> DataFrame:
+def tracker_lookup(requests: DataFrame, trackers: DataFrame, order: str | None = None) -> DataFrame:
     """Android and iOS tracker ids of ``platform - channel``, null when unknown.
 
-    ``trackers`` may repeat a name: the last one by ``seq`` counts, or the greatest pair of ids where
-    there is no such column, so that a lookup never adds rows.
+    Of a name that ``trackers`` repeats, the last row by ``order`` counts, see ``one_per_key``.
     """
-    ids = F.struct(F.col("android").alias("android_id"), F.col("ios").alias("ios_id"))
-    last = F.max_by(ids, "seq") if "seq" in trackers.columns else F.max(ids)
-    known = trackers.groupBy(F.col("platform_channel").alias("_pc")).agg(last.alias("_ids")).select("_pc", "_ids.*")
+    columns = ["platform_channel", "android", "ios", *([order] if order else [])]
+    known = one_per_key(trackers.select(*columns), "platform_channel", order).select(
+        F.col("platform_channel").alias("_pc"), F.col("android").alias("android_id"), F.col("ios").alias("ios_id")
+    )
     return requests.join(known, platform_channel() == F.col("_pc"), "left").drop("_pc")
 
 
-def default_campaign(requests: DataFrame, defaults: DataFrame) -> DataFrame:
+def default_campaign(requests: DataFrame, defaults: DataFrame, order: str | None = None) -> DataFrame:
     """Fill campaign, adgroup and creative from the defaults of ``platform - channel``, else ``''``.
 
-    A name that ``defaults`` repeats takes its greatest row, so that a lookup never adds rows.
+    Of a name that ``defaults`` repeats, the last row by ``order`` counts, see ``one_per_key``.
     """
     fields = ["campaign", "adgroup", "creative"]
-    row = F.struct(*[F.col(f).alias(f"_{f}") for f in fields])
-    known = defaults.groupBy(F.col("platform_channel").alias("_pc")).agg(F.max(row).alias("_row")).select("_pc", "_row.*")
+    columns = ["platform_channel", *fields, *([order] if order else [])]
+    known = one_per_key(defaults.select(*columns), "platform_channel", order).select(
+        F.col("platform_channel").alias("_pc"), *[F.col(f).alias(f"_{f}") for f in fields]
+    )
     return (
         requests.join(known, platform_channel() == F.col("_pc"), "left")
         .withColumns({f: F.coalesce(F.col(f), F.col(f"_{f}"), F.lit("")) for f in fields})

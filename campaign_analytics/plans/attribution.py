@@ -21,6 +21,7 @@ from ..functions.urls import (
     url_param,
     url_path,
 )
+from ..operators.joins import one_per_key
 from ..operators.windows import first_over
 
 TOUCH_ORDER = ["ts", "event_id"]
@@ -222,13 +223,14 @@ def tracker_link(
     base_url: str,
     variant: str = "constant",
     creative: str = "qr",
+    order: str | None = None,
 ) -> DataFrame:
     """Tracking URL of a touch from its source's tracker ids.
 
     Unpaid sources carry page and referrer, paid ones their campaign parameters. The ``constant``
     variant always names the same creative; ``term`` uses ``utm_term`` for paid sources only and
     takes video sites for engines. ``trackers`` has ``source``, ``android`` and ``ios``; of a source
-    that it repeats the greatest pair of ids counts. ``base_url`` ends with a slash.
+    that it repeats the last row by ``order`` counts, see ``one_per_key``. ``base_url`` ends with a slash.
     """
     source = touch_source_legacy(F.col("url"), F.col("referrer"), "qr_video" if variant == "term" else "qr")
 
@@ -241,9 +243,8 @@ def tracker_link(
         own, paid = (F.concat(link, F.lit(f"&creative={creative}")) for link in (own, paid))
     else:
         paid = F.concat(paid, F.lit("&creative="), param("utm_term"))
-    last = F.max(F.struct("android", "ios"))
-    ids = trackers.groupBy("source").agg(last.alias("_last"))
-    ids = ids.select("source", F.concat_ws("_", "_last.android", "_last.ios").alias("_ids"))
+    known = one_per_key(trackers.select("source", "android", "ios", *([order] if order else [])), "source", order)
+    ids = known.select("source", F.concat_ws("_", "android", "ios").alias("_ids"))
     return (
         touches.withColumn("source", source)
         .join(ids, "source", "left")

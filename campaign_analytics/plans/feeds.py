@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import join_list, join_pairs, localized
 from ..operators.filters import live_only
-from ..operators.joins import dedupe_last, row_by_id
+from ..operators.joins import row_by_id
 
 # Legal notes put behind every description, in both languages.
 NOTE_DE = (
@@ -45,51 +45,64 @@ def job_feed(jobs: DataFrame, company: str, source_name: str | None = None) -> D
     )
 
 
+def resolve_views(jobs: DataFrame, requests: DataFrame) -> DataFrame:
+    """The feed row that each request for a single job is about: its columns and ``row_no``, null where there is none.
+
+    With a digit in ``dav`` that text is the row number, else the last row with the job id counts. Only ids and row
+    numbers are read of the feed.
+    """
+    specific = requests.where(F.coalesce("job_id", F.lit("")) != "")
+    by_number = F.coalesce("dav", F.lit("")).rlike("[0-9]")
+    number = F.expr("try_cast(dav AS bigint)")
+    numbered = specific.where(by_number).withColumn("row_no", F.when(number.cast("string") == F.col("dav"), number))
+    last = jobs.where("referencenumber IS NOT NULL").groupBy(F.col("referencenumber").alias("_id"))
+    last = last.agg(F.max("row_no").cast("bigint").alias("row_no"))
+    named = specific.where(~by_number).join(last, F.col("job_id") == F.col("_id"), "left").drop("_id")
+    return numbered.unionByName(named)
+
+
 def job_view(jobs: DataFrame, requests: DataFrame) -> DataFrame:
     """What each page request gets to see.
 
-    ``requests`` has ``request_id``, ``job_id`` and ``dav``. Without a job id the whole feed is
-    served (``generic``). With a digit in ``dav`` that is the row number, else the last row with
-    the job id counts. Rows that are missing or not live give ``jobNotFound`` or ``jobInactive``.
-    Both kinds of lookup are one join, on a key naming the kind.
+    ``requests`` has ``request_id``, ``job_id`` and ``dav``, the feed unique row numbers. Without a job id the whole
+    feed is served (``generic``); these requests meet no job. The others are resolved to a row number first, see
+    ``resolve_views``, and then the feed's texts are joined once. Rows that are missing or not live give
+    ``jobNotFound`` or ``jobInactive``.
     """
-    fields = F.struct("status", *VIEW_FIELDS, "description")
-    by_row = jobs.select(F.concat(F.lit("row:"), F.col("row_no").cast("string")).alias("_key"), fields.alias("_job"))
-    last = dedupe_last(jobs.select("referencenumber", "row_no", fields.alias("_job")), ["referencenumber"], "row_no")
-    by_id = last.select(F.concat(F.lit("id:"), F.col("referencenumber")).alias("_key"), "_job")
-    specific = F.coalesce("job_id", F.lit("")) != ""
-    by_number = F.coalesce("dav", F.lit("")).rlike("[0-9]")
-    key = F.when(
-        specific,
-        F.when(by_number, F.concat(F.lit("row:"), F.col("dav"))).otherwise(F.concat(F.lit("id:"), F.col("job_id"))),
+    wanted = resolve_views(jobs, requests.select("request_id", "job_id", "dav"))
+    # A request without a row keeps a key that no row has, spread over many values.
+    spread = F.when(F.col("row_no").isNull(), 1 + F.pmod(F.xxhash64("request_id"), F.lit(1024))).otherwise(F.lit(0))
+    keyed = wanted.select("request_id", F.coalesce("row_no", F.lit(0)).alias("_row"), spread.cast("bigint").alias("_none"))
+    fields = jobs.where("row_no IS NOT NULL").select(
+        F.col("row_no").cast("bigint").alias("_row"),
+        F.lit(0).cast("bigint").alias("_none"),
+        F.lit(True).alias("_found"),
+        "status",
+        *VIEW_FIELDS,
+        F.col("description").alias("_text"),
     )
-    status = (
-        F.when(~specific, F.lit("generic"))
-        .when(F.col("_job").isNull(), F.lit("jobNotFound"))
-        .when(F.col("_job.status") == "LIVE", F.lit("ok"))
+    result = (
+        F.when(F.col("_found").isNull(), F.lit("jobNotFound"))
+        .when(F.col("status") == "LIVE", F.lit("ok"))
         .otherwise(F.lit("jobInactive"))
     )
     ok = F.col("result") == "ok"
-    note = localized(
-        F.when(F.col("_job.language") == "en", F.lit("en")).otherwise("de"), F.lit(NOTE_DE), F.lit(NOTE_EN)
-    )
+    note = localized(F.when(F.col("language") == "en", F.lit("en")).otherwise("de"), F.lit(NOTE_DE), F.lit(NOTE_EN))
     description = F.concat(
-        F.coalesce("_job.description", F.lit("")),
+        F.coalesce("_text", F.lit("")),
         F.lit("<div id='hiddenPara'><br><em>"),
         note,
         F.lit("</em></div>"),
     )
-    return (
-        requests.withColumn("_key", key)
-        .join(by_row.unionByName(by_id), "_key", "left")
-        .withColumn("result", status)
-        .select(
-            "request_id",
-            "result",
-            *[F.when(ok, F.col(f"_job.{c}")).alias(c) for c in VIEW_FIELDS],
-            F.when(ok, description).alias("description"),
-        )
+    # The description is made from the job's own language, before the fields of other results are emptied.
+    shown = (
+        keyed.join(fields, ["_row", "_none"], "left")
+        .withColumn("result", result)
+        .withColumn("description", F.when(ok, description))
+        .select("request_id", "result", *[F.when(ok, F.col(c)).alias(c) for c in VIEW_FIELDS], "description")
     )
+    generic = requests.where(F.coalesce("job_id", F.lit("")) == "").select("request_id", F.lit("generic").alias("result"))
+    return shown.unionByName(generic, allowMissingColumns=True)
 
 
 def job_description(listings: DataFrame, language: str) -> DataFrame:

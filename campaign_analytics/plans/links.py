@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import device_type, form_component, uri_component, url_param
-from ..operators.joins import default_campaign, tracker_lookup
+from ..operators.joins import default_campaign, one_per_key, tracker_lookup
 
 # Link types that take a category or course, and the two rejection messages.
 DETAIL_LINKS = ["Short term job offers with category", "LMS links"]
@@ -15,16 +15,28 @@ NO_LINK = "Cannot create link: Please select deeplink type"
 
 
 def deep_links(
-    requests: DataFrame, trackers: DataFrame, links: DataFrame, defaults: DataFrame, base_link: str = "https://exampleurl"
+    requests: DataFrame,
+    trackers: DataFrame,
+    links: DataFrame,
+    defaults: DataFrame,
+    base_link: str = "https://exampleurl",
+    order: dict[str, str] | None = None,
 ) -> DataFrame:
     """Full deep link of every request, or the reason there is none.
 
     A request needs a known tracker and a chosen link. Category and course links carry the
     request's detail at the end of both the path and the app address. App address and fallback
     are percent-encoded, campaign fields are passed on as they are.
+
+    ``order`` names the order column of the tables ``trackers``, ``links`` and ``defaults`` that may repeat a name: the
+    last row counts. A name with different rows in a table without one is an error, see ``one_per_key``.
     """
-    known = links.select(F.col("name").alias("deeplink"), "urlScheme", "deeplinkExample")
-    rows = default_campaign(tracker_lookup(requests, trackers), defaults).join(known, "deeplink", "left")
+    by = order or {}
+    columns = ["name", "urlScheme", "deeplinkExample", *([by["links"]] if "links" in by else [])]
+    known = one_per_key(links.select(*columns), "name", by.get("links"))
+    known = known.select(F.col("name").alias("deeplink"), "urlScheme", "deeplinkExample")
+    tracked = tracker_lookup(requests, trackers, by.get("trackers"))
+    rows = default_campaign(tracked, defaults, by.get("defaults")).join(known, "deeplink", "left")
     detail = F.when(F.col("deeplink").isin(DETAIL_LINKS), F.coalesce("additional_detail", F.lit(""))).otherwise("")
     fallback = uri_component(F.coalesce("fallback_url", F.lit("")))
     parts = [

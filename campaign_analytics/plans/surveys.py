@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rating_event, rating_of, trim_len_ok, trimmed
+from ..operators.ordering import latest_rows
 
 
 def nps_bucket(score: Column) -> Column:
@@ -50,24 +51,19 @@ def merge_submissions(parts: DataFrame, keys: tuple[str, ...] = ("uuid", "timest
 
 def last_writes(attributes: DataFrame) -> DataFrame:
     """Last value of every user and attribute, in the same long form as the input."""
-    return (
-        attributes.groupBy("user_id", "attribute")
-        .agg(F.max(F.struct("ts", "seq", "value")).alias("_last"))
-        .select("user_id", "_last.ts", "_last.seq", "attribute", "_last.value")
-    )
+    columns = ["user_id", "ts", "seq", "attribute", "value"]
+    return latest_rows(attributes.select(*columns), ["user_id", "attribute"], ["ts", "seq"])
 
 
 def latest_attributes(attributes: DataFrame, names: list[str]) -> DataFrame:
     """Last value of the named attributes per user, as columns.
 
-    One aggregate per name over the same shuffle, reduced on the map side.
+    The last writes are found by their order alone; a user's values, one per name, then make a map.
     """
-
-    def last(name: str) -> Column:
-        at = F.when(F.col("attribute") == name, F.struct("ts", "seq"))
-        return F.max_by("value", at).alias(name)
-
-    return attributes.where(F.col("attribute").isin(names)).groupBy("user_id").agg(*[last(n) for n in names])
+    last = last_writes(attributes.where(F.col("attribute").isin(names)))
+    known = F.map_from_entries(F.collect_list(F.struct("attribute", "value")))
+    users = last.groupBy("user_id").agg(known.alias("_known"))
+    return users.select("user_id", *[F.element_at("_known", F.lit(n)).alias(n) for n in names])
 
 
 def rating_counts(events: DataFrame, rating: str = "rating") -> DataFrame:

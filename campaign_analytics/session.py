@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -29,15 +32,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for streaming checkpoints and written tables.
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application under ``spark.checkpoint.dir``, the shared folder the cluster names.
 
-    It lives under ``spark.checkpoint.dir``, the shared folder the cluster names. Only where that
-    setting is missing (tests on one machine) is a temporary folder used.
+    Only where that setting is missing (tests on one machine) is it a temporary folder, which goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="campaign-analytics-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if root:
+        return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    root = tempfile.mkdtemp(prefix="campaign-analytics-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder of this run for streaming checkpoints and written tables."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete all that this application wrote to its run folder, once none of its frames is used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -111,6 +111,7 @@ def _trackers(spark, d):
         source.alias("source"),
         F.concat(F.lit("and"), F.col("n_nationkey").cast("string")).alias("android"),
         F.concat(F.lit("ios"), F.col("n_nationkey").cast("string")).alias("ios"),
+        F.col("n_nationkey").alias("line"),
     )
 
 
@@ -128,14 +129,14 @@ def search_params(spark, d):
 
 def tracker_link(variant):
     def run(spark, d):
-        out = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST, variant)
+        out = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST, variant, order="line")
         return out.select("event_id", "source", "tracker_url")
 
     return run
 
 
 def sticky_tracker(spark, d):
-    links = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST)
+    links = plan.tracker_link(touches(spark, d), _trackers(spark, d), LINK_HOST, order="line")
     known = links.withColumn("tracker_url", F.when(F.col("source").endswith("_ads"), F.col("tracker_url")))
     return plan.sticky_tracker(known, DEFAULT_LINK)
 
@@ -213,13 +214,14 @@ def _tracker(by_ref, tail_own, tail_paid):
            END AS tracker_url
     FROM (SELECT *, list_position({SOURCES!r}, source) - 1 AS spot
           FROM (SELECT *, {_source(BY_URL_LEGACY, by_ref)} AS source FROM touches))
-    JOIN (SELECT n_nationkey % 7 AS place, arg_max('' || n_nationkey, 'and' || n_nationkey) AS n
+    JOIN (SELECT n_nationkey % 7 AS place, arg_max('' || n_nationkey, n_nationkey) AS n
           FROM nation GROUP BY place) ids ON place = spot"""
     }
 
 
+SQL_SOURCE_LEGACY = _source(BY_URL_LEGACY, BY_REF_EQUAL)
 _CONSTANT = _tracker(BY_REF_EQUAL, "&creative=qr", "'&creative=qr'")
-_STORED = f"coalesce({sql_index(['partner' if 'first_ref' in u else None for u in URLS], _URL)}, {sql_index(LABELS, _REF)})"
+SQL_STORED = f"coalesce({sql_index(['partner' if 'first_ref' in u else None for u in URLS], _URL)}, {sql_index(LABELS, _REF)})"
 _CONVERSION = """'1' AS amount, 'aw' AS channel, 'Default:1' AS parts, 'EUR' AS currency, 'null' AS voucher,
     '1' AS test"""
 _TRUE_SOURCE = sql_index(["true" if v == "Unknown" else v for v in PARAMS["utm_source", "decoded"]], _URL)
@@ -260,7 +262,7 @@ ORACLE = {
     "host_label": _labels(label=sql_index(LABELS, _REF)),
     "device_type": _labels(device=sql_index(DEVICES, "event_id % 5")),
     "first_touch": with_tables(
-        f"""SELECT user_id, arg_min({_STORED}, (ts, event_id)) FILTER (WHERE {_STORED} IS NOT NULL) AS first_referrer
+        f"""SELECT user_id, arg_min({SQL_STORED}, (ts, event_id)) FILTER (WHERE {SQL_STORED} IS NOT NULL) AS first_referrer
         FROM touches GROUP BY user_id"""
     ),
     "first_touch_website": with_tables(
@@ -280,7 +282,7 @@ ORACLE = {
               ELSE CASE WHEN src IS NOT NULL THEN 'Misc. Traffic' WHEN ref = 'google' THEN 'Google Organic Search'
                         ELSE 'Misc. Organic Search' END END AS channel_detail
           FROM (SELECT user_id, {_param("utm_source", "nullable")} AS src, ref FROM touches
-                JOIN (SELECT user_id AS owner, arg_min({_STORED}, (ts, event_id)) FILTER (WHERE {_STORED} IS NOT NULL) AS ref
+                JOIN (SELECT user_id AS owner, arg_min({SQL_STORED}, (ts, event_id)) FILTER (WHERE {SQL_STORED} IS NOT NULL) AS ref
                       FROM touches GROUP BY user_id) ON owner = user_id))
     GROUP BY ALL"""
     ),

@@ -177,8 +177,8 @@ ORACLE = {
     FROM (SELECT conv_id, turn, (conv_id + turn) % 5 + 1 AS rating, {_TRIM} AS body,
                  length({_TRIM}) BETWEEN 1 AND 255 AS ok FROM conversations)""",
     "merge_submissions": with_tables(
-        """SELECT user_id AS uuid, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp", score, event_type AS reason,
-        props AS feedback FROM scored""",
+        """SELECT user_id AS uuid, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp", max(score) AS score,
+        max(event_type) AS reason, max(props) AS feedback FROM scored GROUP BY user_id, ts""",
         SQL,
     ),
     "latest_attributes": LATEST_SQL,

@@ -64,11 +64,11 @@ def job_feed(spark, d):
 
 
 def job_feed_xml(spark, d):
-    """Publish the feed as XML and read the published jobs back."""
+    """Publish the feed as XML and read the published jobs back, with the header of their document."""
     path = shared_dir(spark, "feed")
     feed = job_feed(spark, d)
-    sinks.write_job_xml(feed, path, COMPANY, "https://e.com/?a=1&b=2", "2024-01-31T12:00:00.000Z")
-    return sinks.read_published_xml(spark, path, feed.columns)
+    sinks.write_job_xml(feed, path, COMPANY, "https://e.com/?a=1&b=2", "2024-01-31T12:00:00.000Z", ["referencenumber", "url"])
+    return sinks.read_published_xml(spark, path, feed.columns, header=True)
 
 
 def job_view(spark, d):
@@ -228,7 +228,8 @@ _BONUS = {
 
 ORACLE = {
     "job_feed": _FEED,
-    "job_feed_xml": _FEED,
+    "job_feed_xml": f"""SELECT *, '{COMPANY}' AS publisher, 'https://e.com/?a=1&b=2' AS publisherurl,
+    '2024-01-31T12:00:00.000Z' AS lastbuilddate FROM ({_FEED})""",
     "job_view": with_tables(
         f"""
     SELECT request_id, result, {_SHOWN}, CASE WHEN result = 'ok' THEN description || '<div id=''hiddenPara''><br><em>' ||

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from campaign_analytics.functions import urls
 from campaign_analytics.operators import sets
-from campaign_analytics.operators.joins import default_campaign, tracker_lookup
+from campaign_analytics.operators.joins import default_campaign, map_lookup, tracker_lookup
 from campaign_analytics.plans import links as plan
+from campaign_analytics.plans.attribution import tracker_link
 from campaign_analytics.session import shared_dir
 from campaign_analytics.sources import sinks
 
+from .attribution import SOURCES
+from .attribution import SQL_SOURCE_LEGACY as SOURCE
 from .tables import DEVICES, by_index, key_count, read, sql_index, touches, with_tables
 
 PLATFORMS = ["Braze", "Google Ads", None]
@@ -53,6 +56,21 @@ SQL = {
 }
 
 
+_LAST = "QUALIFY row_number() OVER (PARTITION BY {} ORDER BY line DESC) = 1"
+REPEATED = {
+    **SQL,
+    "repeated": f"""
+    SELECT {sql_index(TRACKED, "s_suppkey % 5")} AS pc, s_name AS campaign, 'a' || s_nationkey AS adgroup,
+           'and' || s_suppkey AS android, 'ios' || s_nationkey AS ios, {sql_index(LINK_NAMES, "s_suppkey % 5")} AS name,
+           '/' || s_name AS scheme, s_suppkey * 7919 % 100003 AS line FROM supplier""",
+    "last_by_platform": f"SELECT * FROM repeated {_LAST.format('pc')}",
+    "last_by_name": f"SELECT * FROM repeated {_LAST.format('name')}",
+    "last_by_source": f"""
+    SELECT android || '_' || ios AS ids, {sql_index(SOURCES, "line % 7")} AS place FROM repeated
+    {_LAST.format("place")}""",
+}
+
+
 def _encode(text):
     out = f"url_encode({text})"
     for code, char in [("%21", "!"), ("%27", "''"), ("%28", "("), ("%29", ")"), ("%2A", "*")]:
@@ -99,11 +117,12 @@ def _defaults(spark, d):
         F.concat(F.lit("camp-"), "r_name").alias("campaign"),
         F.concat(F.lit("group-"), "r_name").alias("adgroup"),
         F.lit("c").alias("creative"),
-    ).where("platform_channel IS NOT NULL")
+    )
 
 
 def _deep_links(spark, d):
-    return plan.deep_links(requests(spark, d), _trackers(spark, d), _link_types(spark, d), _defaults(spark, d))
+    tables = [requests(spark, d), _trackers(spark, d), _link_types(spark, d), _defaults(spark, d)]
+    return plan.deep_links(*tables, order={"trackers": "seq"})
 
 
 def deep_links(spark, d):
@@ -111,7 +130,7 @@ def deep_links(spark, d):
 
 
 def tracker_ids(spark, d):
-    return tracker_lookup(requests(spark, d), _trackers(spark, d)).select(
+    return tracker_lookup(requests(spark, d), _trackers(spark, d), order="seq").select(
         "seq", "platform", "channel", "android_id", "ios_id"
     )
 
@@ -134,13 +153,48 @@ def uri_component(spark, d):
     )
 
 
-def link_page(spark, d):
-    """Append the generated links to the log, read them back, and show one page."""
+def _link_log(spark, d):
+    """The generated links, appended to the log in two goes and read back."""
     path = shared_dir(spark, "links")
     made = _deep_links(spark, d).where("error IS NULL")
     sinks.append_link_log(made.where("platform = 'Braze'"), path)
     sinks.append_link_log(made.where("platform <> 'Braze'"), path)
-    return sets.page_of(sinks.read_link_log(spark, path), "seq", page=3)
+    return sinks.read_link_log(spark, path)
+
+
+def link_page(page):
+    """A page by its number; 0 is the last one and -1 one past it. At most 500 rows are sorted for it."""
+
+    def run(spark, d):
+        log = _link_log(spark, d)
+        return sets.page_of(log, "seq", page if page > 0 else -(-log.count() // 10) - page, rows=500)
+
+    return run
+
+
+def lookup_duplicates(spark, d):
+    """Lookup tables that repeat every name many times, in another order than their values': the last row counts."""
+    table = read(spark, d, "supplier").select(
+        by_index(TRACKED, "s_suppkey % 5").alias("platform_channel"),
+        F.col("s_name").alias("campaign"),
+        F.concat(F.lit("a"), F.col("s_nationkey").cast("string")).alias("adgroup"),
+        F.lit("c").alias("creative"),
+        F.concat(F.lit("and"), F.col("s_suppkey").cast("string")).alias("android"),
+        F.concat(F.lit("ios"), F.col("s_nationkey").cast("string")).alias("ios"),
+        by_index(LINK_NAMES, "s_suppkey % 5").alias("name"),
+        F.concat(F.lit("/"), "s_name").alias("urlScheme"),
+        F.lit("app://x").alias("deeplinkExample"),
+        F.expr("s_suppkey * 7919L % 100003").alias("line"),
+    )
+    orders = {"trackers": "line", "links": "line", "defaults": "line"}
+    made = plan.deep_links(requests(spark, d), table, table, table, order=orders)
+    worded = map_lookup(made, "deeplink", table, "name", "adgroup", "category", F.lit("none"), order="line")
+    places = table.withColumn("source", by_index(SOURCES, "line % 7"))
+    tracked = tracker_link(touches(spark, d), places, "https://l.example/", order="line").select(
+        F.col("event_id").alias("seq"), F.regexp_extract("tracker_url", r"^https://l\.example/([^?]*)", 1).alias("tracker_ids")
+    )
+    columns = ["seq", "android_id", "ios_id", "campaign", "adgroup", "urlScheme", "category"]
+    return worded.select(*columns).join(tracked, "seq")
 
 
 def app_link(spark, d):
@@ -151,9 +205,13 @@ QUERIES = {
     "deep_links": deep_links,
     "tracker_lookup": tracker_ids,
     "default_campaign": default_values,
+    "lookup_duplicates": lookup_duplicates,
     "utm_url": utm_url,
     "uri_component": uri_component,
-    "link_page": link_page,
+    "link_page": link_page(3),
+    "link_page_first": link_page(1),
+    "link_page_last": link_page(0),
+    "link_page_past_the_end": link_page(-1),
     "app_link": app_link,
 }
 
@@ -195,17 +253,32 @@ ORACLE = {
         "SELECT seq, full_campaign AS campaign, full_adgroup AS adgroup, full_creative AS creative FROM tracked_requests",
         SQL,
     ),
+    "lookup_duplicates": with_tables(
+        f"""SELECT q.seq, p.android AS android_id, p.ios AS ios_id, coalesce(q.campaign, p.campaign, '') AS campaign,
+        coalesce(q.adgroup, p.adgroup, '') AS adgroup, n.scheme AS "urlScheme", coalesce(n.adgroup, 'none') AS category,
+        coalesce(s.ids, 'undefined') AS tracker_ids
+        FROM link_requests q LEFT JOIN last_by_platform p ON p.pc = q.platform || ' - ' || q.channel
+             LEFT JOIN last_by_name n ON n.name = q.deeplink
+             JOIN (SELECT event_id, {SOURCE} AS source FROM touches) t ON t.event_id = q.seq
+             LEFT JOIN last_by_source s ON s.place = t.source""",
+        REPEATED,
+    ),
     "utm_url": with_tables(
         f"SELECT event_id, url || CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END || concat_ws('&', {_UTM}) AS link FROM touches"
     ),
     "uri_component": f"""SELECT item_id, {_encode("text")} AS encoded, replace({_encode("text")}, '%20', '+') AS form_encoded
     FROM benchmark""",
-    "link_page": with_tables(
-        """SELECT seq, link, (SELECT count(*) FROM built_links WHERE error IS NULL) AS length,
-        CAST(ceil((SELECT count(*) FROM built_links WHERE error IS NULL) / 10) AS BIGINT) AS total_pages, 3 AS page
-        FROM built_links WHERE error IS NULL ORDER BY seq DESC LIMIT 10 OFFSET 20""",
-        _BUILT,
-    ),
+    **{
+        name: with_tables(
+            f"""SELECT seq, link, n AS length, CAST(ceil(n / 10) AS BIGINT) AS total_pages, CAST({page} AS INTEGER) AS page
+            FROM (SELECT seq, link, count(*) OVER () AS n, row_number() OVER (ORDER BY seq DESC) AS place
+                  FROM built_links WHERE error IS NULL) WHERE (place - 1) // 10 + 1 = {page}""",
+            _BUILT,
+        )
+        for name, page in [
+            ("link_page", "3"), ("link_page_first", "1"), ("link_page_last", "ceil(n / 10)"), ("link_page_past_the_end", "ceil(n / 10) + 1"),
+        ]
+    },
     "app_link": with_tables(
         f"""SELECT event_id, device, 'https://links.example.com/store?campaign=' || {_param("utm_campaign")} || '_spring' ||
         CASE WHEN device = 'desktop' THEN '_QR_code' ELSE '' END || '&adgroup=' || {_param("utm_content")} ||

@@ -193,10 +193,18 @@ def report_pages(spark, d):
 
 
 def report_table(spark, d):
-    """Write the stacked report as a table and read it back."""
-    path = shared_dir(spark, "report")
-    sinks.write_table(basis_report(spark, d), path)
-    return spark.read.parquet(path)
+    """Replace a named table twice, other columns first, and read it by its name."""
+    report = basis_report(spark, d)
+    sinks.replace_table(report.select("date_dt"), "stacked_report")
+    sinks.replace_table(report, "stacked_report")
+    return spark.table("stacked_report")
+
+
+def paid_daily_micros(spark, d):
+    """Costs in millionths of a unit and parts of them: no digit is lost on the way to the sums."""
+    costs = report_tables(spark, d)["channel_cost"]
+    micros = (F.col("ad_cost") * F.lit("1.000001").cast("decimal(7,6)") + F.lit("0.000000000001").cast("decimal(13,12)")).cast("decimal(28,12)")
+    return _days(aggregates.paid_daily(costs.withColumn("ad_cost", micros)), "date_dt")
 
 
 def top_spend_days(spark, d):
@@ -221,6 +229,7 @@ QUERIES = {
     "event_counts": event_counts,
     "organic_daily": organic_daily,
     "paid_daily": paid_daily,
+    "paid_daily_micros": paid_daily_micros,
     "pageviews_by_origin": pageviews_by_origin,
     "basis_report": basis_report,
     "basis_report_costs": basis_report_costs,
@@ -319,6 +328,12 @@ ORACLE = {
         clicks AS b2b_paid_clicks FROM b""",
         {"b": _paid(START, END, _ALL_OUT)},
     ),
+    "paid_daily_micros": with_tables(
+        """SELECT CAST(date_dt AS VARCHAR) AS date_dt,
+        CAST(sum(CAST(ad_cost * CAST(1.000001 AS DECIMAL(7,6)) + CAST(0.000000000001 AS DECIMAL(13,12)) AS DECIMAL(28,12))) AS DOUBLE)
+            AS b2b_spend,
+        sum(impressions) AS b2b_paid_impr, sum(clicks) AS b2b_paid_clicks FROM channel_cost GROUP BY date_dt"""
+    ),
     "pageviews_by_origin": with_tables(
         "SELECT CAST(day AS VARCHAR) AS date_dt, origin AS web_origin_type, views AS ga4_pageviews FROM b", {"b": _PAGES}
     ),

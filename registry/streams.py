@@ -8,7 +8,7 @@ from campaign_analytics.streaming import jobs
 
 from . import attribution, experiments, feeds
 from .experiments import ATTRIBUTES, attributes_from
-from .tables import SCHEMAS, touches_from, ts_text
+from .tables import SCHEMAS, touches_from, ts_text, with_tables
 
 
 def _events(spark, d):
@@ -31,6 +31,14 @@ def stream_first_touch(spark, d):
     return jobs.read_first_touch(spark, out)
 
 
+def stream_sessions(spark, d):
+    """Sessions that are over at the end of the file; the two days before it stay open for late touches."""
+    checkpoint, out = _folders(spark, "sessions")
+    stream = touches_from(_events(spark, d))
+    jobs.stream_sessions(stream, checkpoint, out, gap="6 hours", late_by="2 days", once=True).awaitTermination()
+    return spark.read.parquet(out).withColumns({c: ts_text(c) for c in ("session_start", "session_end")})
+
+
 def stream_profile(spark, d):
     checkpoint, out = _folders(spark, "profile")
     jobs.stream_profile(attributes_from(_events(spark, d)), checkpoint, out, once=True).awaitTermination()
@@ -48,6 +56,7 @@ def stream_intake(spark, d):
 QUERIES = {
     "stream_touches": stream_touches,
     "stream_first_touch": stream_first_touch,
+    "stream_sessions": stream_sessions,
     "stream_profile": stream_profile,
     "stream_intake": stream_intake,
 }
@@ -55,6 +64,17 @@ QUERIES = {
 ORACLE = {
     "stream_touches": attribution.ORACLE["page_event"],
     "stream_first_touch": attribution.ORACLE["first_touch"],
+    "stream_sessions": with_tables(
+        f"""
+    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+           strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS touches,
+           arg_min({attribution.SQL_STORED}, (ts, event_id)) FILTER (WHERE {attribution.SQL_STORED} IS NOT NULL) AS first_referrer
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS visit
+          FROM (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+                FROM touches))
+    GROUP BY user_id, visit
+    HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM touches) - INTERVAL 2 DAY"""
+    ),
     "stream_profile": experiments.LATEST_SQL,
     "stream_intake": feeds.ORACLE["job_intake"],
 }

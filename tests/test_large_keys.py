@@ -1,12 +1,13 @@
 """Order keys, ranks of hot keys, measured joins and pages against their plain definitions."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from campaign_analytics.operators import joins, ordering, windows
+from campaign_analytics.operators import joins, ordering, sets, windows
 
 
 def test_order_keys_sort_as_their_columns(spark):
@@ -82,3 +83,32 @@ def test_measured_join(spark, rows, how):
     small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k0", 3), ("k9", 4), (None, 5)], "k string, v int")
     want = sorted(map(tuple, big.join(small, "k", how).collect()), key=repr)
     assert sorted(map(tuple, joins.join_measured(big, small, "k", how, rows=rows, parts=4).collect()), key=repr) == want
+
+
+def test_any_page_of_a_log(spark, monkeypatch):
+    monkeypatch.setattr(sets, "RANGES", 60)
+    rng = random.Random(2)
+    values = [rng.choice([None, -(2**63), 2**63 - 1, 0, 5, 5, 5, *[rng.randrange(10**6) for _ in range(20)]]) for _ in range(200)]
+    log = spark.createDataFrame([(v, f"link {i}") for i, v in enumerate(values)], "seq long, link string").repartition(3)
+    log = log.cache()
+    want = sorted(values, key=lambda v: (v is not None, v or 0), reverse=True)
+    pages = {}
+    for page in range(1, 22):
+        got = sets.page_of(log, "seq", page).collect()
+        assert [r.seq for r in got] == want[10 * page - 10 : 10 * page], page
+        assert all((r.length, r.total_pages, r.page) == (200, 20, page) for r in got)
+        pages[page] = got
+    assert sorted(r.link for p in pages.values() for r in p) == sorted(f"link {i}" for i in range(200))
+    for rows, some in [(5, (1, 4, 6, 20, 21)), (60, (3, 12, 20))]:
+        for page in some:
+            assert sets.page_of(log, "seq", page, rows=rows).collect() == pages[page], (rows, page)
+    assert sets.page_of(log, "seq", 0).collect() == [] and sets.page_of(log.limit(0), "seq", 1).collect() == []
+    log.unpersist()
+
+
+def test_a_deep_page_sorts_few_rows(spark):
+    log = spark.range(100_000).withColumnRenamed("id", "seq")
+    page = sets.page_of(log, "seq", 9_000, rows=500)
+    assert [r.seq for r in page.collect()] == list(range(10_009, 9_999, -1))
+    limits = [int(n) for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", page._jdf.queryExecution().executedPlan().toString())]
+    assert limits and max(limits) <= 510

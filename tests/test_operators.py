@@ -2,6 +2,7 @@
 
 import json
 from collections import Counter
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,7 +85,7 @@ def test_last_duplicate_wins_in_lookups(spark):
         [("P - C", "a1", "i1", 1), ("P - C", "a2", "i2", 2)], "platform_channel string, android string, ios string, seq int"
     )
     requests = spark.createDataFrame([("P", "C"), ("P", "X"), (None, "C")], "platform string, channel string")
-    got = {(r.platform, r.channel): r.android_id for r in joins.tracker_lookup(requests, trackers).collect()}
+    got = {(r.platform, r.channel): r.android_id for r in joins.tracker_lookup(requests, trackers, order="seq").collect()}
     assert got == {("P", "C"): "a2", ("P", "X"): None, (None, "C"): None}
     feed = spark.createDataFrame([("a", 1, "old"), ("a", 5, "new"), ("b", 2, None)], "rid string, row_no int, v string")
     asked = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "want string")
@@ -92,6 +93,27 @@ def test_last_duplicate_wins_in_lookups(spark):
     assert out == {"a": ("new", True), "b": (None, True), "c": (None, False), None: (None, False)}
 
 
+def test_repeated_names_need_an_order(spark):
+    table = spark.createDataFrame(
+        [("P - C", "z", "a", "c", 1), ("P - C", "b", "a", "c", 2), ("P - D", "d", "d", "d", 1), ("P - D", "d", "d", "d", 1), (None, "n", "n", "n", 1),
+         (None, "m", "n", "n", 2)],
+        "platform_channel string, campaign string, adgroup string, creative string, seq int",
+    )
+    asked = spark.createDataFrame([("P", "C", None, None, None), ("P", "D", "own", None, None)],
+                                  "platform string, channel string, campaign string, adgroup string, creative string")
+    last = {r.channel: (r.campaign, r.adgroup) for r in joins.default_campaign(asked, table, order="seq").collect()}
+    assert last == {"C": ("b", "a"), "D": ("own", "d")}
+    unordered = joins.default_campaign(asked, table)
+    with pytest.raises(Exception, match="different rows for platform_channel = P - C"):
+        unordered.collect()
+    once = joins.default_campaign(asked, table.where("campaign <> 'z'")).collect()
+    assert {r.channel: r.campaign for r in once} == {"C": "b", "D": "own"} and len(once) == 2
+    words = spark.createDataFrame([("a", "first", 1), ("a", "last", 2), ("b", "", 1)], "k string, v string, seq int")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    got = joins.map_lookup(keys, "k", words, "k", "v", "out", F.lit("none"), order="seq").collect()
+    assert {r.k: r.out for r in got} == {"a": "last", "b": "none", "c": "none", None: "none"} and len(got) == 4
+
+
 def test_top1_and_first_over_and_pages(spark):
     df = spark.createDataFrame(
         [("a", 1, None), ("a", 2, "x"), ("a", 2, "y"), ("b", 5, None), (None, 1, "n")], "k string, v int, s string"
@@ -190,8 +212,42 @@ def test_feed_round_trip_through_xml(spark, tmp_path):
     sinks.write_job_xml(feed, str(tmp_path / "feed"), 'A "&" B', "https://e.com/?a=1&b=2", "2024-01-01T00:00:00.000Z")
     back = sinks.read_published_xml(spark, str(tmp_path / "feed"), feed.columns)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, feed.collect()))
-    header = spark.read.format("xml").option("rowTag", "header").load(str(tmp_path / "feed" / "header")).collect()[0]
-    assert (header.publisher, header.publisherurl) == ('A "&" B', "https://e.com/?a=1&b=2")
+    head = sinks.read_published_xml(spark, str(tmp_path / "feed"), feed.columns, header=True).select(*sinks.HEADER).distinct()
+    assert [tuple(r) for r in head.collect()] == [('A "&" B', "https://e.com/?a=1&b=2", "2024-01-01T00:00:00.000Z")]
+
+
+@pytest.mark.parametrize(("n", "per_document"), [(0, 5), (7, 50), (57, 10)])
+def test_every_feed_document_is_complete(spark, tmp_path, n, per_document):
+    feed = spark.range(n).select(F.col("id").cast("string").alias("title"), (F.col("id") % 3).alias("rank"), F.lit("<&>").alias("text"))
+    path = tmp_path / "feed"
+    sinks.write_job_xml(feed, str(path), "P", "U", "T", order=["rank", "title"], jobs_per_document=per_document)
+    titles = []
+    files = [f for f in path.glob("*.txt") if f.stat().st_size]
+    assert len(files) <= max(1, -(-n // per_document)) and (len(files) == 1 or n > per_document)
+    for file in files:
+        root = ElementTree.fromstring(file.read_text())
+        assert root.tag == "source" and [root.find(h).text for h in sinks.HEADER] == ["P", "U", "T"]
+        assert [c.tag for c in root] == [*sinks.HEADER, *["job"] * (len(root) - 3)]
+        jobs_here = [(int(j.find("rank").text), j.find("title").text) for j in root.iter("job")]
+        assert jobs_here == sorted(jobs_here)
+        titles += [t for _, t in jobs_here]
+    assert sorted(titles) == sorted(str(i) for i in range(n))
+
+
+def test_named_tables_are_replaced_in_one_step(spark):
+    sinks.replace_table(spark.range(3), "replaced_report")
+    reader = spark.table("replaced_report")
+    plan = reader.groupBy().sum("id")
+    failing = spark.range(5).select(F.expr("IF(id = 4, raise_error('lost'), id)").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_table(failing, "replaced_report")
+    assert spark.table("replaced_report").count() == 3
+    sinks.replace_table(spark.range(10).select("id", F.lit("x").alias("more")), "replaced_report")
+    assert spark.table("replaced_report").columns == ["id", "more"] and spark.table("replaced_report").count() == 10
+    assert plan.first()[0] == 3  # who began before reads the old version
+    # A report made from its own last version.
+    sinks.replace_table(spark.table("replaced_report").where("id < 4"), "replaced_report")
+    assert spark.table("replaced_report").count() == 4
 
 
 def test_board_listings(spark, tmp_path):
