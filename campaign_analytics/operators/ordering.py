@@ -12,15 +12,14 @@ from pyspark.sql import types as T
 
 # Decimal digits of each type's values once they are counted from the least one, null being zero.
 DIGITS = {
-    T.ByteType: 3,
-    T.ShortType: 5,
+    T.ByteType: 10,
+    T.ShortType: 10,
     T.IntegerType: 10,
     T.LongType: 20,
     T.DateType: 7,
     T.TimestampType: 18,
     T.TimestampNTZType: 18,
 }
-LEAST = {T.ByteType: -(2**7), T.ShortType: -(2**15), T.IntegerType: -(2**31), T.LongType: -(2**63)}
 
 
 def _number(value: int, digits: int = 20) -> Column:
@@ -28,23 +27,25 @@ def _number(value: int, digits: int = 20) -> Column:
 
 
 def _counted(name: str, kind: T.DataType, descending: bool) -> Column:
-    """A value as a positive decimal; null is zero either way, and so comes first."""
-    digits = DIGITS[type(kind)]
-    col = F.col(name)
+    """A value as a whole number from 1 on; null is zero either way, and so comes first."""
+    col, most = F.col(name), 10 ** DIGITS[type(kind)] - 1
+    if isinstance(kind, T.LongType):
+        sign = -col.cast("decimal(20,0)") if descending else col.cast("decimal(20,0)")
+        return F.coalesce((sign + _number(2**63 + 1)).cast("decimal(20,0)"), _number(0))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         # By its calendar fields, since a time stamp without zone has no instant; 18 digits reach beyond year 9999.
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60
-        micros = F.date_part(F.lit("SECOND"), col) * 1_000_000
-        days = F.date_diff(col.cast("date"), F.lit("0001-01-01").cast("date")).cast("long")
-        value = (days * 86_400_000_000 + seconds.cast("long") * 1_000_000 + micros.cast("long")).cast("decimal(18,0)")
+        seconds = (F.hour(col) * 3600 + F.minute(col) * 60).cast("long")
+        micros = (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")
+        value = _days(col.cast("date")) * 86_400_000_000 + seconds * 1_000_000 + micros + 1
     elif isinstance(kind, T.DateType):
-        value = F.date_diff(col, F.lit("0001-01-01").cast("date")).cast("decimal(7,0)")
+        value = _days(col) + 1
     else:
-        value = col.cast("decimal(20,0)") - _number(LEAST[type(kind)])
-    most = 10**digits - 2 if digits < 20 else 2**64 - 1
-    if descending:
-        value = _number(most) - value
-    return F.coalesce(value.cast("decimal(20,0)") + 1, _number(0))
+        value = col.cast("long") + 2**31 + 1
+    return F.coalesce(F.lit(most) - value if descending else value, F.lit(0))
+
+
+def _days(date: Column) -> Column:
+    return F.date_diff(date, F.lit("0001-01-01").cast("date")).cast("long")
 
 
 def order_key(df: DataFrame, *columns: str) -> Column:
@@ -62,8 +63,11 @@ def order_key(df: DataFrame, *columns: str) -> Column:
             raise ValueError(f"no order key over {name}: {kind.simpleString()}")
         digits = DIGITS[type(kind)]
         used += digits
-        value = _counted(name, kind, spec != name).cast("decimal(38,0)")
-        total = value if total is None else (total * _number(10**digits, 21)).cast("decimal(38,0)") + value
+        value = _counted(name, kind, spec != name)
+        if total is None:
+            total = value
+        else:
+            total = (total.cast("decimal(38,0)") * _number(10**digits, digits + 1)).cast("decimal(38,0)") + value.cast("decimal(20,0)")
     if total is None or used > 38:
         raise ValueError(f"order columns need {used} digits, 38 fit")
     return total.cast("decimal(38,0)")

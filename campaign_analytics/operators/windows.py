@@ -65,22 +65,25 @@ def top1_ties(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     )
 
 
-def first_over(df: DataFrame, keys: list[str], value: str, order: list[str], out: str | None = None) -> DataFrame:
+def first_over(df: DataFrame, keys: list[str], value: str | Column, order: list[str], out: str | None = None) -> DataFrame:
     """First non-null value per key in ``order``; keys without any value keep null.
 
-    An order key and a hash of the value are reduced, on the map side first; the value of the winning row is
-    joined back. Of values equal in order, one counts.
+    An order key and a hash of the row are reduced, on the map side first; the winning row is joined back, and only
+    there is ``value`` computed again, which may be an expression. Of rows equal in order, one counts.
     """
-    at = F.when(F.col(value).isNotNull(), order_value(df, *order))
-    kept = df.select(*keys, F.col(value).alias("_value"), at.alias("_at"))
-    mark = F.xxhash64("_value")
-    won = kept.groupBy(*keys).agg(F.min("_at").alias("_first"), F.min_by(mark, "_at").alias("_mark"))
-    values = kept.where("_value IS NOT NULL").select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_value", "_at", mark.alias("_hash")
+    found = F.col(value) if isinstance(value, str) else value
+    at = order_value(df, *order)
+    mark = F.xxhash64(*df.columns)
+    won = (
+        df.select(*keys, F.when(found.isNotNull(), at).alias("_at"), mark.alias("_mark"))
+        .groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        .agg(F.min("_at").alias("_first"), F.min_by("_mark", "_at").alias("_mark"))
     )
+    rows = df.withColumns({"_at": at, "_hash": mark})
     same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-    back = won.join(values, [*same, F.col("_first") == F.col("_at"), F.col("_mark") == F.col("_hash")], "left")
-    return back.select(*keys, F.col("_value").alias(out or value)).distinct()
+    back = won.join(rows, [*same, F.col("_first") == F.col("_at"), F.col("_mark") == F.col("_hash")], "left")
+    named = F.when(F.col("_first").isNotNull(), found).alias(out or (value if isinstance(value, str) else "first"))
+    return back.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], named).distinct()
 
 
 # A key with more rows than this is ranked in pieces, cut at this many quantiles of its order values.

@@ -193,8 +193,8 @@ def touch_referrer(url: Column, referrer: Column, variant: str = "signup") -> Co
 
 def first_touch(touches: DataFrame, variant: str = "signup") -> DataFrame:
     """First stored referrer of every user."""
-    stored = touches.withColumn("first_referrer", touch_referrer(F.col("url"), F.col("referrer"), variant))
-    return first_over(stored, ["user_id"], "first_referrer", TOUCH_ORDER)
+    stored = touch_referrer(F.col("url"), F.col("referrer"), variant)
+    return first_over(touches, ["user_id"], stored, TOUCH_ORDER, "first_referrer")
 
 
 def with_channels(touches: DataFrame, first: DataFrame) -> DataFrame:

@@ -43,22 +43,22 @@ def talent_list(eligibility: DataFrame, talents: DataFrame, as_of: str) -> DataF
 def mark_shared(talents: DataFrame) -> DataFrame:
     """Add ``shared``: whether the row's user has several talents or regions, or one of their talents several users.
 
-    Talents without a user count as sharing one. Where nobody shares, which is looked up here, the column is a
-    constant and the plans for shared users fall away.
+    Talents without a user count as sharing one. Where nobody shares, which is looked up here, there is no such
+    column, and plans for shared users are not made.
     """
     if "shared" in talents.columns:
         return talents
-    pairs = talents.select(TALENT, "user_uuid", "matching_region_name")
 
     def several(col: str) -> Column:
         return F.min(col) < F.max(col)
 
+    pairs = talents.select(TALENT, "user_uuid", "matching_region_name")
     by_user = several(TALENT) | several("matching_region_name")
     users = pairs.groupBy("user_uuid").agg(by_user.alias("several")).where("several").select("user_uuid")
     owners = pairs.groupBy(TALENT).agg(several("user_uuid").alias("several")).where("several").select(TALENT)
+    if users.select(F.lit(1)).limit(1).unionAll(owners.select(F.lit(1)).limit(1)).isEmpty():
+        return talents
     found = users.unionByName(pairs.join(owners, TALENT, "left_semi").select("user_uuid")).distinct()
-    if found.isEmpty():
-        return talents.withColumn("shared", F.lit(False))
     flagged = found.select(F.col("user_uuid").alias("_user"), F.lit(True).alias("_shared"))
     joined = talents.join(flagged, F.col("user_uuid").eqNullSafe(F.col("_user")), "left").drop("_user")
     return joined.withColumn("shared", F.col("_shared").isNotNull()).drop("_shared")
@@ -161,17 +161,18 @@ def seen_facts(views: DataFrame) -> DataFrame:
     return _facts(views, "seen", "last_job_details_seen", columns)
 
 
-def preferences(
-    talents: DataFrame, facts: list[DataFrame], jobs: DataFrame, categories: DataFrame, as_of: str
+def _preferences(
+    marked: DataFrame, facts: list[DataFrame], jobs: DataFrame, categories: DataFrame, as_of: str
 ) -> DataFrame:
-    """For each kind of facts, the category of every talent's last-ranked one.
+    """For each kind of facts, the category of every talent's last-ranked one, from the talents of ``mark_shared``.
 
     All kinds go through the same joins and aggregates. Columns: the talent, ``user_uuid``, ``kind``, ``cnt`` facts
     of the talent, ``group_cnt`` of them with this category and tag, its dense rank ``popularity``, ``preference``
     (null where the only entry does not come last), ``job_category_name``, ``matched_tag``, ``last_stamp``, ``single``.
     """
-    marked = mark_shared(talents)
     rows = activity_jobs(marked, reduce(DataFrame.unionByName, facts), jobs, categories, "stamp", as_of, ("kind", "order_key"))
+    if "shared" not in marked.columns:
+        return _by_tail(rows)
     return _by_tail(rows.where("NOT shared")).unionByName(_by_rank(rows.where("shared")))
 
 
@@ -251,14 +252,14 @@ def applied_preference(
     talents: DataFrame, applications: DataFrame, jobs: DataFrame, categories: DataFrame, as_of: str
 ) -> DataFrame:
     """Category of the application ranked last by recency, which is the oldest one of a user of their own."""
-    return _named(preferences(talents, [applied_facts(applications)], jobs, categories, as_of), "applied")
+    return _named(_preferences(mark_shared(talents), [applied_facts(applications)], jobs, categories, as_of), "applied")
 
 
 def seen_preference(
     talents: DataFrame, views: DataFrame, jobs: DataFrame, categories: DataFrame, as_of: str
 ) -> DataFrame:
     """Category of the view ranked last: the latest one, and of equal times the least repeated."""
-    return _named(preferences(talents, [seen_facts(views)], jobs, categories, as_of), "seen")
+    return _named(_preferences(mark_shared(talents), [seen_facts(views)], jobs, categories, as_of), "seen")
 
 
 def unfulfilled_revenue(
@@ -322,8 +323,10 @@ def _best_of_region(revenue: DataFrame) -> DataFrame:
 
 def _offers(talents: DataFrame, best: DataFrame) -> DataFrame:
     """Talents with their region's best categories, unless their user has a better one elsewhere."""
-    people = talents.select(TALENT, "user_uuid", "employment_city", "matching_region_name", "shared").distinct()
-    offers = join_measured(people, best, "matching_region_name")
+    columns = [TALENT, "user_uuid", "employment_city", "matching_region_name", *(c for c in talents.columns if c == "shared")]
+    offers = join_measured(talents.select(*columns).distinct(), best, "matching_region_name")
+    if "shared" not in columns:
+        return offers
     tops = offers.where("shared").groupBy(F.col("user_uuid").alias("_user")).agg(F.max("unfulfilled_revenue").alias("_top"))
     joined = offers.join(tops, F.col("shared") & F.col("user_uuid").eqNullSafe(F.col("_user")), "left")
     return joined.where("_top IS NULL OR unfulfilled_revenue = _top").drop("_user", "_top", "shared")
@@ -348,11 +351,13 @@ def eligible_preference(talents: DataFrame, revenue: DataFrame) -> DataFrame:
 
 def _with_offer(talents: DataFrame, best: DataFrame) -> DataFrame:
     """Every talent with ``offered``, the categories that ``eligible_preference`` gives them; null without one."""
-    alone = join_measured(talents.where("NOT shared"), best, "matching_region_name", "left")
+    alone = talents.where("NOT shared") if "shared" in talents.columns else talents
+    alone = join_measured(alone, best, "matching_region_name", "left").withColumnRenamed("job_category_name", "offered")
+    if "shared" not in talents.columns:
+        return alone
     sharing = talents.where("shared")
-    offers = _offers(sharing, best).select(TALENT, "job_category_name").distinct()
-    both = alone.select(*talents.columns, "job_category_name").unionByName(sharing.join(offers, TALENT, "left"))
-    return both.withColumnRenamed("job_category_name", "offered")
+    offers = _offers(sharing, best).select(TALENT, F.col("job_category_name").alias("offered")).distinct()
+    return alone.select(*talents.columns, "offered").unionByName(sharing.join(offers, TALENT, "left"))
 
 
 # Which evidence counts first. Unfilled revenue comes after all of them.
@@ -387,7 +392,7 @@ def recommend_category(
     talents = mark_shared(listed)
     facts = [applied_facts(tables["job_apply_core"]), seen_facts(tables["job_details_seen"])]
     evidence = best_evidence(
-        preferences(talents, facts, jobs, categories, as_of),
+        _preferences(talents, facts, jobs, categories, as_of),
         worked_category(talents, tables["fact_shift"], jobs, categories),
     )
     revenue = unfulfilled_revenue(

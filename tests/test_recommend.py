@@ -129,6 +129,7 @@ def test_preference_when_a_talent_has_two_users(tables, kind):
     fn, table = KINDS[kind]
     more = t["dim_talent"].where("talent_id IN (0, 3)").withColumn("user_uuid", F.expr("'u' || (talent_id + 4)"))
     talents = plan.talent_list(t["talent_eligibility"], t["dim_talent"].unionByName(more), AS_OF)
+    assert "shared" not in plan.mark_shared(talents_of(t)).columns
     marked = {(r.user_uuid, r.shared) for r in plan.mark_shared(talents).collect()}
     assert {u for u, shared in marked if shared} == {"u0", "u3", "u4", "u7"}
     args = (talents, t[table], t["fact_job"], t["dim_job_category"])
