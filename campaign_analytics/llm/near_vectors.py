@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,41 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+TIE = 1e-9  # unit products this near to the threshold are decided exactly
+
+
+def at_least(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether the cosine of two vectors reaches the threshold, in whole numbers.
+
+    Doubles are whole numbers times a power of two, and the cosine is compared by its square. The threshold is the
+    decimal that is written, so that a cosine of exactly nine tenths reaches 0.9.
+    """
+
+    def whole(x: np.ndarray) -> list[int]:
+        parts = [Fraction(float(v)) for v in x]
+        scale = max(p.denominator for p in parts)
+        return [int(p * scale) for p in parts]
+
+    x, y = whole(a), whole(b)
+    dot = sum(p * q for p, q in zip(x, y, strict=True))
+    limit = Fraction(repr(threshold))
+    squares = sum(p * p for p in x) * sum(q * q for q in y)
+    reached = Fraction(dot * dot) >= limit * limit * squares
+    return dot >= 0 and reached if limit >= 0 else dot >= 0 or not Fraction(dot * dot) > limit * limit * squares
+
+
+def _linked(raw: np.ndarray, unit: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``a`` and ``b`` whose cosine reaches the threshold."""
+    product = unit[a] @ unit[b].T
+    x, y = np.nonzero(product >= threshold - TIE)
+    close = np.flatnonzero(product[x, y] < threshold + TIE)
+    x, y = a[x], b[y]
+    keep = x < y if a is b else np.ones(len(x), bool)
+    for i in close[keep[close]]:
+        keep[i] = at_least(raw[x[i]], raw[y[i]], threshold)
+    return x[keep], y[keep]
+
+
 def _usable(vectors: DataFrame, column: str) -> DataFrame:
     """id, dimension and bytes in double precision of vectors that can be compared."""
 
@@ -128,13 +164,12 @@ def _bucket_links(dealt: DataFrame, plan: Tables, threshold: float) -> DataFrame
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             order = np.lexsort((ids, block != i))
             ids, copies, block = ids[order], copies[order], block[order]
-            unit = _unit(group.column("vec").take(pa.array(order)).to_pylist())
+            vectors = group.column("vec").take(pa.array(order)).to_pylist()
+            unit = _unit(vectors)
+            raw = np.frombuffer(b"".join(vectors), np.float64).reshape(unit.shape)
             one = int((block == i).sum())
             a, b = (np.arange(len(ids)),) * 2 if i == j else (np.arange(one), np.arange(one, len(ids)))
-            x, y = np.nonzero(unit[a] @ unit[b].T >= threshold)
-            x, y = a[x], b[y]
-            if i == j:
-                x, y = x[x < y], y[x < y]
+            x, y = _linked(raw, unit, a, b, threshold)
             if not len(x):
                 continue
             dim = unit.shape[1]
@@ -170,7 +205,8 @@ def _bucket_links(dealt: DataFrame, plan: Tables, threshold: float) -> DataFrame
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, column: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id and kept for each row of ``vectors`` (vec_id and an array column).
 
-    Vectors are linked where their cosine in double precision is at least ``threshold``; n_links counts the
+    Vectors are linked where their cosine in double precision is at least ``threshold``, and exactly there: products
+    that rounding could move across it are compared in whole numbers. n_links counts the
     other vectors linked directly, component_id is the smallest vec_id reachable, kept tells whether it is
     the vector's own. Equal vectors become one class first. Classes are bucketed by several quantised
     projections in each of several tables; the numbers follow from the count of vectors so that a pair at
