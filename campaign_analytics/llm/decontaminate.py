@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from .common import shared_object
 from .words import Words, chunks, mix64, text_bytes
 
-# Positions of a window that are compared; the ones left out may differ. Each mask has weight 6 in a span of 9 to
-# 11, and no two share more than a few gaps, so that one replaced word hides a passage from some masks only.
-MASKS = ("111111", "11011011", "1101100101", "10110010011")
+# Positions of a window that are compared; the ones left out may differ. Each mask has weight 6. Of 13 words in a row
+# any two may be replaced, and some mask still finds the others somewhere among them; tests try all 79 ways.
+MASKS = ("111111", "1111011", "1101100101", "10110010011")
 SPAN = 13  # words that an overlap needs, or all words of a shorter item
 LEAST = 0.8  # share of these words that must be equal
+PAIRS = 1 << 20  # hits of seeds turned into diagonals at a time
 ITEMS_AT_ONCE = 4_000_000  # words of benchmark text broadcast at a time; a longer benchmark is read in several passes
 
 
@@ -33,16 +34,94 @@ def seeds(hashes: np.ndarray, owner: np.ndarray, mask: str, salt: int) -> tuple[
     return total[inside], inside
 
 
+def short_masks(n: int, least: float) -> list[str]:
+    """Masks over the whole of an item of ``n`` words that together miss none of the replacements it may have.
+
+    With r replaced words at most, the positions are dealt out to r + 1 masks: one of them sees no replaced word.
+    """
+    masks = n - int(np.ceil(least * n - 1e-9)) + 1
+    return ["".join("1" if i % masks == g else "0" for i in range(n)) for g in range(masks)]
+
+
+def seed_runs(values: np.ndarray, place: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of one seed at consecutive places of a text: value, first place, how many."""
+    if not len(values):
+        return values, place, np.empty(0, np.int64)
+    goes_on = (values[1:] == values[:-1]) & (place[1:] == place[:-1] + 1) & (owner[place[1:]] == owner[place[:-1]])
+    first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+    return values[first], place[first], np.diff(np.concatenate([first, [len(values)]]))
+
+
 class Benchmark:
-    """The items' words and, per mask, their seeds in ascending order."""
+    """The items' words and, per mask, the runs of seeds in ascending order of the items that it is for."""
 
-    def __init__(self, ids: np.ndarray, words: Words):
+    def __init__(self, ids: np.ndarray, words: Words, span: int = SPAN, least: float = LEAST):
         self.ids, self.hashes, self.at, self.owner = ids, words.hashes, words.at, words.text_of()
+        sizes = np.diff(self.at)
+        masks = [(mask, None) for mask in MASKS]
+        masks += [(mask, n) for n in np.unique(sizes[(sizes > 0) & (sizes < span)]).tolist() for mask in short_masks(n, least)]
         self.seeds = []
-        for salt, mask in enumerate(MASKS):
+        for salt, (mask, n) in enumerate(masks):
             values, place = seeds(self.hashes, self.owner, mask, salt)
+            own = sizes[self.owner[place]]
+            mine = own >= span if n is None else own == n
+            values, place = values[mine], place[mine]
+            values, place, many = seed_runs(values, place, self.owner)
             order = np.argsort(values, kind="stable")
-            self.seeds.append((values[order], place[order]))
+            self.seeds.append((mask, salt, values[order], place[order], many[order]))
+
+
+def _diagonals(words: Words, bench: Benchmark) -> np.ndarray:
+    """Distinct rows (text, item, where word 0 of the item falls) that a seed hit lies on.
+
+    Where a seed goes on over consecutive places on either side, both runs together hit a stretch of neighbouring
+    diagonals. Hits are turned into diagonals in pieces of ``PAIRS``, so that words which both sides repeat without
+    end take no more room than the diagonals they leave.
+    """
+    owner = words.text_of()
+    texts, items, low_shift = words.texts, len(bench.ids), -len(bench.hashes)
+    width = len(words.hashes) - low_shift + 1
+    if texts * items * width >= 2**62:
+        raise ValueError("texts and benchmark are too large to be held against each other at once")
+    found = np.empty(0, np.int64)
+    for mask, salt, keys, theirs, their_many in bench.seeds:
+        if not len(keys):
+            continue
+        values, place, many = seed_runs(*seeds(words.hashes, owner, mask, salt), owner)
+        low, high = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
+        hit = np.flatnonzero(high > low)
+        pairs = (high - low)[hit]
+        upto = np.cumsum(pairs)
+        at = 0
+        while at < len(hit):
+            done = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, done + PAIRS, "right")))
+            n = pairs[at:end]
+            run = np.repeat(low[hit[at:end]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            mine = np.repeat(hit[at:end], n)
+            item = bench.owner[theirs[run]]
+            first = place[mine] - (theirs[run] + their_many[run] - 1 - bench.at[item])
+            code = (owner[place[mine]] * items + item) * width - low_shift + first
+            for piece in _stretched(code, many[mine] + their_many[run] - 1):
+                found = np.union1d(found, piece)
+            at = end
+    rest, shift = np.divmod(found, width)
+    return np.stack([rest // items, rest % items, shift + low_shift], 1)
+
+
+def _stretched(starts: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """The numbers of all stretches in pieces of about ``PAIRS``."""
+    starts, where = np.unique(starts, return_inverse=True)
+    longest = np.zeros(len(starts), np.int64)
+    np.maximum.at(longest, where, lengths)
+    upto = np.cumsum(longest)
+    at = 0
+    while at < len(starts):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + PAIRS, "right")))
+        n = longest[at:end]
+        yield np.repeat(starts[at:end] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at = end
 
 
 def overlaps(words: Words, bench: Benchmark, span: int, least: float) -> np.ndarray:
@@ -52,25 +131,8 @@ def overlaps(words: Words, bench: Benchmark, span: int, least: float) -> np.ndar
     item lie side by side. It counts if ``span`` words in a row, or the whole of a shorter item, have the
     share ``least`` of equal words.
     """
-    owner = words.text_of()
-    found = []
-    for salt, mask in enumerate(MASKS):
-        values, place = seeds(words.hashes, owner, mask, salt)
-        keys, items = bench.seeds[salt]
-        low, high = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
-        hit = np.flatnonzero(high > low)
-        many = (high - low)[hit]
-        at = np.repeat(low[hit], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        found.append(np.stack([np.repeat(place[hit], many), items[at]], 1))
-    pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-    if not len(pairs):
-        return np.empty((0, 5), np.int64)
-    item = bench.owner[pairs[:, 1]]
-    text = owner[pairs[:, 0]]
-    shift = pairs[:, 0] - (pairs[:, 1] - bench.at[item])  # where word 0 of the item falls
-    lines = np.unique(np.stack([text, item, shift], 1), axis=0)
     out = []
-    for t, i, s in lines:
+    for t, i, s in _diagonals(words, bench):
         a, b = bench.at[i], bench.at[i + 1]
         first, end = max(s, words.at[t]), min(s + b - a, words.at[t + 1])
         need = min(span, b - a)
@@ -79,8 +141,8 @@ def overlaps(words: Words, bench: Benchmark, span: int, least: float) -> np.ndar
         same = words.hashes[first:end] == bench.hashes[a + first - s : a + end - s]
         sums = np.concatenate([[0], np.cumsum(same)])
         runs = sums[need:] - sums[:-need]
-        if runs.max() >= least * need:
-            good = np.flatnonzero(runs >= least * need)
+        if runs.max() >= least * need - 1e-9:
+            good = np.flatnonzero(runs >= least * need - 1e-9)
             x, y = good[0], good[-1] + need
             out.append((t, i, first + x - words.at[t], first + y - words.at[t], sums[y] - sums[x]))
     return np.array(out, np.int64).reshape(-1, 5)
@@ -90,7 +152,8 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
     """doc_id, item_id, start, end, n_equal of each overlap of a document with an item, in words.
 
     Words are runs of letters and digits with A-Z lower-cased. Spaced seeds of both sides are matched, every
-    hit is verified on its diagonal. The benchmark is a stated query set: it is read in blocks of bounded
+    hit is verified on its diagonal. With the default span and share no overlap is missed: items of fewer words
+    have masks of their own length, so an item of one word is found wherever that word stands. The benchmark is a stated query set: it is read in blocks of bounded
     size, each of which is broadcast and held against all rows.
 
     Null and empty texts have no words and no overlaps, as do items without words. Items with equal text are
@@ -105,7 +168,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").toArrow()
         ids = np.array(part.column("item_id").to_pylist(), object)
-        load = shared_object(docs.sparkSession, _benchmark(ids, part.column("text").to_pylist()))
+        load = shared_object(docs.sparkSession, _benchmark(ids, part.column("text").to_pylist(), span, least))
 
         def run(batches: Iterator[pa.RecordBatch], load=load) -> Iterator[pa.RecordBatch]:
             bench = load()
@@ -124,9 +187,9 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN,
     return out
 
 
-def _benchmark(ids: np.ndarray, texts: list[str]) -> Benchmark:
+def _benchmark(ids: np.ndarray, texts: list[str], span: int, least: float) -> Benchmark:
     data, offsets = text_bytes(pa.array(texts, pa.string()))
-    return Benchmark(ids, Words(data, offsets, "letters"))
+    return Benchmark(ids, Words(data, offsets, "letters"), span, least)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
