@@ -79,38 +79,49 @@ def templates_of(texts: Mapping[str, str]) -> list[Template]:
     return out
 
 
-def dice(window: np.ndarray, grams: np.ndarray) -> float:
-    window = np.unique(window)
-    return 2 * len(np.intersect1d(window, grams, assume_unique=True)) / (len(window) + len(grams))
+def best_end(grams: np.ndarray, own: np.ndarray, size: int) -> tuple[float, int]:
+    """The best Dice of the stretches that start with the first of ``grams``, and the bigrams it takes.
+
+    ``own`` tells which are the template's, ``size`` how many it has; a stretch has the distinct bigrams up to its end.
+    """
+    _, first = np.unique(grams, return_index=True)
+    new = np.zeros(len(grams), np.int64)
+    new[first] = 1
+    values = 2 * np.cumsum(new * own) / (np.cumsum(new) + size)
+    at = int(values.argmax())
+    return float(values[at]), at + 1
 
 
 def scan_document(grams: np.ndarray, templates: list[Template], threshold: float) -> list[tuple[str, int, int, float]]:
     """(template, first word, end word, Dice) of the notices in one document, given its bigrams in order.
 
-    Windows have a template's length and start at each of its bigrams. Those whose count of the template's bigrams
-    allows the threshold are cut down to their last such bigram and compared exactly. Of windows that
+    A window starts and ends with one of the template's bigrams. The threshold leaves it at least t / (2 - t) of
+    the template's bigrams and at most (2 - t) / t as many as the template has, repeats counted; windows of all sizes
+    between are compared where the first bound allows it. For each start the best end is taken. Of windows that
     overlap the best is kept, the first of equal ones.
     """
     found = []
     for t in templates:
-        least = _least_hits(len(t.grams), threshold)
+        size = len(t.grams)
+        least, most = _least_hits(size, threshold), int(t.length * (2 - threshold) / threshold + 1e-9)
         if len(grams) < least:
             continue
-        hit = np.flatnonzero(np.isin(grams, t.grams))
+        own = np.isin(grams, t.grams)
+        hit = np.flatnonzero(own)
         if len(hit) < least:
             continue
-        last = np.searchsorted(hit, hit + t.length) - 1
+        last = np.searchsorted(hit, hit + most) - 1
         open_ = np.flatnonzero(last - np.arange(len(hit)) + 1 >= least)
         scored = []
         for i in open_:
             a, b = int(hit[i]), int(hit[last[i]]) + 1
-            value = dice(grams[a:b], t.grams)
-            if value >= threshold:
-                scored.append((-value, a, b))
-        taken: list[tuple[int, int]] = []
+            value, taken = best_end(grams[a:b], own[a:b], size)
+            if value >= threshold - 1e-12:
+                scored.append((-value, a, a + taken))
+        taken_at: list[tuple[int, int]] = []
         for value, a, b in sorted(scored):
-            if all(b <= x or a >= y for x, y in taken):
-                taken.append((a, b))
+            if all(b <= x or a >= y for x, y in taken_at):
+                taken_at.append((a, b))
                 found.append((t.name, a, b + 1, -value))
     return sorted(found, key=lambda m: (m[1], m[2], m[0]))
 
