@@ -15,8 +15,9 @@ from .words import _powers, mix64, text_bytes
 
 ORDER = 4
 SAMPLE_CHARS = 4_000_000  # expected characters of training text per language; languages with less give all they have
+TOTAL_CHARS = 64_000_000  # of all languages together; more than sixteen get equal shares
 CALIBRATION = 5  # one sampled document in this many is not counted but used to calibrate
-MAX_LANGUAGES = 256  # the languages with most text are learned; a model holds one column for each
+TOGETHER = 8  # languages whose values stand side by side in one table
 SHORT = 20  # letters below which a cross-entropy says too little to reject a text
 CHUNK_CHARS = 1 << 18
 UNKNOWN = "und"
@@ -127,18 +128,28 @@ class HashArray:
 
 
 @dataclass
-class Model:
-    """Log-probabilities per language for every n-gram seen in any, in arrays sorted by hash.
+class Table:
+    """Log-probabilities of a few languages for every n-gram seen in any of them, in arrays sorted by hash.
 
     ``grams[k]`` and ``logp[k]`` hold the (k+1)-grams, ``contexts[k]`` and ``back[k]`` the log of the weight that
-    a context leaves to the shorter one. A text whose cross-entropy exceeds ``limit`` is rejected.
+    a context leaves to the shorter one.
     """
 
-    languages: list[str]
     grams: list[HashArray]
     logp: list[np.ndarray]
     contexts: list[HashArray]
     back: list[np.ndarray]
+
+
+@dataclass
+class Model:
+    """The languages in code-point order and their tables, ``TOGETHER`` languages each, so that the size of the model
+    goes with the text it learned and not with the square of the languages. A text whose cross-entropy exceeds
+    ``limit`` is rejected.
+    """
+
+    languages: list[str]
+    tables: list[Table]
     floor: float
     scale: float = 1.0
     limit: np.ndarray | None = None
@@ -147,20 +158,23 @@ class Model:
 def log_probabilities(model: Model, sym: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Log-probability of each symbol under each language."""
     ends, before = grams(sym, owner), _context(sym, owner)
-    out = np.zeros((len(sym), len(model.languages)), np.float32)
-    todo = np.arange(len(sym))
+    return np.hstack([_table_scores(table, model.floor, ends, before) for table in model.tables])
+
+
+def _table_scores(table: Table, floor: float, ends: list[np.ndarray], before: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(ends[0]), table.logp[0].shape[1]), np.float32)
+    todo = np.arange(len(out))
     for k in range(ORDER - 1, -1, -1):
-        place = model.grams[k].find(ends[k][todo])
+        place = table.grams[k].find(ends[k][todo])
         hit = place >= 0
-        out[todo[hit]] += model.logp[k][place[hit]]
+        out[todo[hit]] += table.logp[k][place[hit]]
         todo = todo[~hit]
         if not len(todo):
             return out
-        if k:
-            place = model.contexts[k].find(before[k][todo])
-            known = place >= 0
-            out[todo[known]] += model.back[k][place[known]]
-    out[todo] += model.floor
+        place = table.contexts[k].find(before[k][todo])
+        known = place >= 0
+        out[todo[known]] += table.back[k][place[known]]
+    out[todo] += floor
     return out
 
 
@@ -170,11 +184,17 @@ def fit(counts: dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     ``counts[lang][k]``: hashes of the (k+1)-grams, of their contexts, of their last k symbols, and counts.
     Below the highest order a gram counts by the number of different symbols seen before it.
     """
+    alphabet = len(np.unique(np.concatenate([counts[x][0][0] for x in languages])))
+    floor = -np.log(2.0 * max(2, alphabet))
+    tables = [_table(counts, languages[i : i + TOGETHER], floor) for i in range(0, len(languages), TOGETHER)]
+    return Model(languages, tables, floor)
+
+
+def _table(counts: dict, languages: list[str], floor: float) -> Table:
     keys = [np.unique(np.concatenate([counts[x][k][0] for x in languages])) for k in range(ORDER)]
     contexts = [np.unique(np.concatenate([counts[x][k][1] for x in languages])) for k in range(ORDER)]
     logp = [np.zeros((len(k), len(languages)), np.float32) for k in keys]
     back = [np.zeros((len(c), len(languages)), np.float32) for c in contexts]
-    floor = -np.log(2.0 * max(2, len(keys[0])))
     links = [_links(counts, languages, k, keys, contexts) for k in range(ORDER)]
     for li, lang in enumerate(languages):
         lower = np.full(1, np.exp(floor))  # what an order falls back to, by place in the keys below
@@ -202,7 +222,7 @@ def fit(counts: dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
             probability = mine + left[place] * (lower[below] if k else lower[0])
             logp[k][:, li] = np.log(probability)
             lower = probability
-    return Model(languages, [HashArray(x) for x in keys], logp, [HashArray(x) for x in contexts], back, floor)
+    return Table([HashArray(x) for x in keys], logp, [HashArray(x) for x in contexts], back)
 
 
 def _links(counts: dict, languages: list[str], k: int, keys: list, contexts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -265,20 +285,21 @@ def _softmax(entropy: np.ndarray, letters: np.ndarray, scale: float) -> np.ndarr
     return 1.0 / np.exp(gap).sum(1)
 
 
-def train(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model | None:
+def train(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, total_chars: int = TOTAL_CHARS) -> Model | None:
     """Fit on a bounded sample of labelled rows (doc_id, lang, text); rows without lang or text are left out.
 
-    Each language gives documents by a hash of id and text, in expectation ``sample_chars`` characters; that bound
-    keeps the model, which is broadcast, bounded too. A fifth of the sample calibrates: the scale of the
+    Every language is learned. Each gives documents by a hash of id and text, in expectation ``sample_chars``
+    characters, or an equal share of ``total_chars`` where there are many; these bounds keep the model, which is
+    broadcast, bounded too. A fifth of the sample calibrates: the scale of the
     confidence, and per language the cross-entropy above which a text is rejected. None without any
     labelled row. Languages are taken in code-point order, which also settles ties.
     """
     rows = labelled.filter("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).filter("chars > 0")
-    sizes = sizes.orderBy(F.desc("chars"), "lang").limit(MAX_LANGUAGES)
+    each = min(sample_chars, total_chars / max(1, sizes.count()))
     at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    share = F.least(F.lit(1.0), F.lit(float(sample_chars)) / F.col("chars"))
-    sample = rows.join(F.broadcast(sizes), "lang").filter(at < share)
+    share = F.least(F.lit(1.0), F.lit(float(each)) / F.col("chars"))
+    sample = rows.join(sizes, "lang").filter(at < share)
     check = F.pmod(F.xxhash64("text", "doc_id"), F.lit(CALIBRATION)) == 0
     found = _count_grams(sample.filter(~check)).toArrow()
     if found.num_rows == 0:
@@ -297,7 +318,7 @@ def train(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model | None
             pick = (lang == x) & (level == k)
             counts[x].append(tuple(p[pick].astype(np.int64).view(np.uint64) for p in part[:3]) + (part[3][pick],))
     model = fit(counts, languages)
-    return _calibrated(model, sample.filter(check & F.col("lang").isin(languages)))
+    return _calibrated(model, sample.filter(check))
 
 
 def _calibrated(model: Model, sample: DataFrame) -> Model:
