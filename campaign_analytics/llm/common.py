@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import pickle
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,13 +18,75 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a single machine."""
+    """This application's folder under ``spark.checkpoint.dir``; a temporary one only on a single machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root.rstrip("/")
+        return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="llm-")
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="llm-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete what this application has stored, once none of its frames is used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def named(name: str) -> Column:
+    """A column by its whole name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    while name in frame.columns:
+        name = f"_{name}"
+    return name
+
+
+def carried(frame: DataFrame, needed: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of the needed columns, the others carried along under names that cannot clash with its own.
+
+    Columns that ``work`` adds replace those of the same name and come last.
+    """
+    others = {f"carried_{i}": c for i, c in enumerate(c for c in frame.columns if c not in needed)}
+    done = work(frame.select(*map(named, needed), *[named(c).alias(safe) for safe, c in others.items()]))
+    added = [c for c in done.columns if c not in needed and c not in others]
+    place = {c: safe for safe, c in others.items()} | {c: c for c in needed}
+    kept = [named(place[c]).alias(c) for c in frame.columns if c not in added]
+    return done.select(*kept, *map(named, added))
+
+
+def row_keys(docs: DataFrame, key: str, id_column: str = "doc_id", text: str = "text") -> tuple[DataFrame, bool]:
+    """Add a long that tells rows apart, and say whether any had to be made up.
+
+    A row whose id no other row has keeps it as its key. Rows with a null or repeated id get a number above 2 ** 62
+    from a hash of id and text, so that only rows equal in both share one. Ids lie below that.
+    """
+    ids = docs.select(named(id_column).cast("long").alias("id"))
+    again = cut(ids.groupBy("id").count().filter("count > 1 or id is null").select(F.col("id").alias(fresh(docs, "again"))))
+    own = named(id_column).cast("long")
+    if again.isEmpty():
+        return docs.withColumn(key, own), False
+    beyond = F.lit(1 << 62).bitwiseOR(F.xxhash64(named(id_column), named(text)).bitwiseAND(F.lit((1 << 62) - 1)))
+    mark = fresh(docs, "made_up")
+    marked = docs.join(again.withColumn(mark, F.lit(True)), own.eqNullSafe(F.col(again.columns[0])), "left").drop(again.columns[0])
+    return marked.withColumn(key, F.when(F.col(mark), beyond).otherwise(own)).drop(mark), True
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """Rows whose key is not in the one column of ``gone``; the key is dropped."""
+    out = fresh(docs, "gone")
+    listed = gone.toDF(out).distinct()
+    return docs.join(listed, F.col(key) == F.col(out), "left_anti").drop(key)
 
 
 def cut(frame: DataFrame) -> DataFrame:
@@ -80,10 +145,11 @@ def bloom_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
 def might_hold(frame: DataFrame, key: str, bloom: tuple[DataFrame, int], flag: str) -> DataFrame:
     """Add a column that is false only where the key is surely not in the filter; null keys are not in it."""
     table, words = bloom
-    at, mask = _bloom_place(F.col(key), words)
-    tested = frame.withColumns({"_word": at, "_mask": mask}).join(F.broadcast(table), "_word", "left")
-    held = F.col(key).isNotNull() & (F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-    return tested.withColumn(flag, F.coalesce(held, F.lit(False))).drop("_word", "_mask", "_bits")
+    word, bits, mask = (fresh(frame, f"bloom_{part}") for part in ("word", "bits", "mask"))
+    at, mine = _bloom_place(F.col(key), words)
+    tested = frame.withColumns({word: at, mask: mine}).join(F.broadcast(table.toDF(word, bits)), word, "left")
+    held = F.col(key).isNotNull() & (F.col(bits).bitwiseAND(F.col(mask)) == F.col(mask))
+    return tested.withColumn(flag, F.coalesce(held, F.lit(False))).drop(word, mask, bits)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_object
+from .common import fresh, row_keys, shared_object, without
 from .words import Words, chunks, mix64, text_bytes
 
 # Positions of a window that are compared; the ones left out may differ. Each mask has weight 6. Of 13 words in a row
@@ -193,6 +193,9 @@ def _benchmark(ids: np.ndarray, texts: list[str], span: int, least: float) -> Be
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no overlap; rows with a null id are judged, and kept or not, together."""
-    bad = contaminated_spans(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` without an overlap. Every row is judged by its own text, also where ids are null or
+    repeated; other columns are kept, whatever their names."""
+    key = fresh(docs, "row_key")
+    keyed, _ = row_keys(docs, key)
+    bad = contaminated_spans(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, **options)
+    return without(keyed, key, bad.select("doc_id"))

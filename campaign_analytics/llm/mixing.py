@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, carried, cut
 
 SPREAD = 64  # hash buckets of each source and size class, so that no window holds a whole source
 
@@ -61,9 +61,12 @@ def mix_plan(
     taken. Repeated rows count one by one. An empty table gives no rows. Input columns with the names of
     added ones are replaced.
     """
-    made = ["size", "source_size", "target", "copies", "taken"]
+    return carried(docs, ["doc_id", "source", "text"], lambda rows: _planned(rows, weights, max_repeat, seed))
+
+
+def _planned(docs: DataFrame, weights: Sequence[float], max_repeat: int, seed: str) -> DataFrame:
     key = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source")))
-    sized = docs.drop(*made).withColumn("size", n_words("text"))
+    sized = docs.withColumn("size", n_words("text"))
     sized = sized.withColumns(
         {
             "_key": key,

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import carried
+
 # The patterns match what the plain ones of the contract match, leftmost and not overlapping. Possessive
 # loops and look-behinds (a match starts where a run of its characters starts, or where the last match
 # ended) keep them linear on very long runs and free of recursion.
@@ -121,7 +123,11 @@ def find_pii(docs: DataFrame, kinds: list[Kind] = KINDS, least_score: float = 0.
     are treated one by one; an empty table gives no rows. Other columns are kept; columns named like the
     added ones are replaced.
     """
-    frame = docs.drop("pii", "pii_masked").withColumn("pii_masked", F.col(text))
+    return carried(docs, [text], lambda rows: _with_spans(rows, kinds, least_score, text))
+
+
+def _with_spans(docs: DataFrame, kinds: list[Kind], least_score: float, text: str) -> DataFrame:
+    frame = docs.withColumn("pii_masked", F.col(text))
     whole = F.coalesce(F.col(text), F.lit(""))
     # One projection per step: what a step uses several times is then computed once.
     steps = [

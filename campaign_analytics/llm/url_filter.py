@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom_filter, might_hold
+from .common import bloom_filter, carried, might_hold
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,9 +59,13 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     rule fits. Repeated rows are judged one by one; repeats and nulls in the list do not matter. Empty tables
     are fine. Input columns with the names of added ones are replaced.
     """
+    return carried(pages, [url], lambda rows: _judged(rows, listed, rules, url))
+
+
+def _judged(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]], url: str) -> DataFrame:
     host, path = host_and_path(url)
     made = {"host": host, "path": path, "canonical": canonical_url(url)}
-    base = pages.select(*[c for c in pages.columns if c not in {*made, "listed", "rule", "verdict"}], *[v.alias(k) for k, v in made.items()])
+    base = pages.withColumns(made)
     keys = listed.select("canonical").filter("canonical is not null").distinct()
     base = might_hold(base, "canonical", bloom_filter(keys, "canonical"), "_maybe")
     hit = keys.withColumn("listed", F.lit(True))

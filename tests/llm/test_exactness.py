@@ -1,15 +1,21 @@
 """Words that hash alike by pattern, cosines at the threshold, short and altered benchmark items, long notices."""
 
+import collections
 import itertools
 import math
+import pathlib
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from campaign_analytics.llm import decontaminate, license_scan, minhash_dedup, near_vectors, substring_dedup
-from campaign_analytics.llm.words import Words, text_bytes
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+from campaign_analytics.llm import decontaminate, language_id, license_scan, minhash_dedup, near_vectors, substring_dedup  # noqa: E402
+from campaign_analytics.llm.words import Words, text_bytes  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -182,3 +188,122 @@ def test_notices_by_brute_force():
             hits += 1
             assert max(f[3] for f in found) == pytest.approx(want)
     assert hits > 50
+
+
+def kneser_ney(texts, order, floor):
+    """Plain interpolated Kneser-Ney over strings: the probability of a symbol after its context."""
+    counts = [collections.Counter() for _ in range(order)]
+    for text in texts:
+        padded = " " * (order - 1) + text
+        for i in range(order - 1, len(padded)):
+            for k in range(order):
+                counts[k][padded[i - k : i + 1]] += 1
+    used = []
+    for k in range(order):
+        if k == order - 1:
+            used.append(dict(counts[k]))
+        else:
+            kinds = collections.Counter(g[1:] for g in counts[k + 1])
+            used.append({g: max(kinds[g], 1) for g in counts[k]})
+
+    def discount(k):
+        ones, twos = (sum(n == x for n in used[k].values()) for x in (1, 2))
+        return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
+
+    def probability(gram):
+        """Of the last symbol of ``gram`` after the others; the text's start reads as blanks."""
+        k = len(gram) - 1
+        below = probability(gram[1:]) if k else math.exp(floor)
+        same = {g: n for g, n in used[k].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return below
+        total, d = sum(same.values()), discount(k)
+        return max(same.get(gram, 0) - d, 0) / total + d * len(same) / total * below
+
+    return probability
+
+
+@pytest.mark.parametrize("together", [8, 1])
+def test_language_models_by_brute_force(spark, stored, monkeypatch, together):
+    monkeypatch.setattr(language_id, "TOGETHER", together)
+    texts = [("xx", "abab abc"), ("xx", "bab a"), ("yy", "cab cac b"), ("yy", "acca"), ("zz", "ddd abd")]
+    counted = language_id._count_grams(stored([(lang, t) for lang, t in texts], "lang string, text string")).toArrow()
+    lang, level = np.array(counted.column("lang").to_pylist(), object), counted.column("k").to_numpy()
+    part = [counted.column(c).to_numpy() for c in ("gram", "context", "suffix", "n")]
+    counts = {
+        x: [
+            tuple(p[(lang == x) & (level == k)].view(np.uint64) for p in part[:3]) + (part[3][(lang == x) & (level == k)],)
+            for k in range(language_id.ORDER)
+        ]
+        for x in ("xx", "yy", "zz")
+    }
+    model = language_id.fit(counts, ["xx", "yy", "zz"])
+    assert len(model.tables) == (1 if together == 8 else 3)
+    for x, column in (("xx", 0), ("yy", 1), ("zz", 2)):
+        plain = kneser_ney([f"{t} " for other, t in texts if other == x], language_id.ORDER, model.floor)
+        for t in ("abab", "cab d", "bbb", "aq b"):
+            sym, owner, _ = language_id.symbols([t])
+            got = language_id.log_probabilities(model, sym, owner)[:, column]
+            padded = "   " + f"{t} "
+            want = [math.log(plain(padded[i - 3 : i + 1])) for i in range(3, len(padded))]
+            assert np.allclose(got, want, atol=1e-4), (x, t, got, want)
+
+
+def test_every_language_is_learned(spark, stored):
+    """Three hundred languages, each of a few letters of its own."""
+    rng = random.Random(8)
+    rows, asked = [], []
+    for i in range(300):
+        letters = [chr(0x4E00 + 5 * i + k) for k in range(5)]
+        for n in range(6):
+            rows.append((100 * i + n, f"l{i:03d}", " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(12))))
+        asked.append((i, " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(9))))
+    model = language_id.train(stored(rows, "doc_id long, lang string, text string"))
+    assert len(model.languages) == 300 and len(model.tables) == -(-300 // language_id.TOGETHER)
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(stored(asked, "doc_id long, text string"), model).collect()}
+    assert got == {i: f"l{i:03d}" for i in range(300)}
+
+
+# Names that operators use for columns of their own, now as columns of the input.
+INNER = ["_at", "_key", "_class", "_part", "_rank", "_rate", "_to", "_gone", "_bad", "_mask", "_word", "_maybe", "_fit", "_found_email",
+         "_span_ip", "gone", "row_key", "again", "made_up", "carried_0", "bloom_word", "size", "pii", "a`b", "x.y"]
+
+
+def test_stages_with_odd_rows(spark, stored, tmp_path):
+    rng = random.Random(6)
+    english = "the of and to in is that for it was with as his on be at by had not are but from have they which one you were her all".split()
+    body = lambda n: " ".join(rng.choice(english) for _ in range(n))
+    same, passage, long = body(80), body(40), body(60_000)
+    texts = [(1, same), (1, body(70)), (None, same), (None, same), (2, same), (3, None), (3, None), (4, ""), (5, " \n"), (6, long),
+             (7, body(30) + " " + passage), (7, body(50)), (8, body(40) + " write to jane.doe@mail1.example soon"), (9, "12345 67890"), (None, None)]
+    texts += [(20 + i, body(60)) for i in range(25)]
+    rows = [(i, t, "en" if t else None, f"s{n % 3}" if n % 4 else None, len(t or ""), *["kept"] * len(INNER)) for n, (i, t) in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in INNER)
+    docs = stored(rows, schema)
+    spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf = str(tmp_path)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, frame):
+        out = stages[name](spark, frame, sf)
+        if name != "mixing":
+            assert out.columns == docs.columns
+        got = out.collect()
+        assert all(r[c] == "kept" for r in got for c in INNER if name != "mixing" or c != "size")
+        assert stages[name](spark, frame.limit(0), sf).count() == 0
+        return [(r.doc_id, r.text) for r in got]
+
+    def listed(pairs):
+        return sorted(pairs, key=repr)
+
+    assert listed(run("language", docs)) == listed([x for x in texts if x[1] and any(c.isalpha() for c in x[1])])
+    kept = run("near_duplicates", docs)
+    assert [t for _, t in kept].count(same) == 1 and (2, same) in kept  # the smallest id that is the row's own
+    assert sum(not (t or "").split() for _, t in kept) == 5 and len(kept) == len(texts) - 3
+    clean = run("decontamination", docs)
+    assert listed(clean) == listed([x for x in texts if not x[1] or passage not in x[1]])
+    masked = run("personal_data", docs)
+    assert len(masked) == len(texts) and not any("jane.doe" in (t or "") for _, t in masked) and (6, long) in masked
+    mixed = run("mixing", docs)
+    assert {x for x in mixed} <= set(texts)
+    assert mixed.count((6, long)) <= 3
