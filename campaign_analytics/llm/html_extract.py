@@ -23,7 +23,7 @@ CHARS_AT_ONCE = 2_000_000
 
 # Elements of HTML by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "object"}
+RAW = {"script", "style", "template", "textarea", "title", "iframe", "select"}
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -55,11 +55,88 @@ FAMILIES = [
 ]
 HOLDERS = ["nav", "header", "footer", "aside", "form", "article", "main"]
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTES = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+START = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+PLAIN = re.compile(r"[^>\"']*>")
+EDGE = re.compile(r"[>\"']")
+ATTRIBUTES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
 
 
+class Tags:
+    """The tags of a page one after another: where each begins and ends, its name and what stands in it.
+
+    A tag ends at the first ``>`` outside quotes. One that never does, as a quote is not closed or the page ends, is
+    text. Where a search for an end has failed before, it is not made again, so that a page of nothing but broken
+    tags takes as long as any other of its length.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+        self.dead: set[int] = set()  # places outside quotes from which no end is reached
+
+    def _end(self, at: int) -> int:
+        plain = PLAIN.match(self.html, at) if at <= self.last[">"] else None
+        if plain:
+            return plain.end()
+        passed = []
+        while at <= self.last[">"] and at not in self.dead:
+            passed.append(at)
+            edge = EDGE.search(self.html, at)
+            if edge[0] == ">":
+                return edge.end()
+            if edge.end() > self.last[edge[0]]:
+                break
+            at = self.html.index(edge[0], edge.end()) + 1
+        self.dead.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name (empty for comments and declarations), whether it closes, and the attributes' text."""
+        while at <= self.last[">"]:
+            found = START.search(self.html, at)
+            if found is None:
+                return None
+            if found[1]:
+                end = self.html.find("-->", found.end())
+                return found.start(), end + 3 if end >= 0 else len(self.html), "", False, ""
+            if found[2]:
+                end = self.html.find(">", found.end())
+                return (found.start(), end + 1, "", False, "") if end >= 0 else None
+            end = self._end(found.end())
+            if end >= 0:
+                return found.start(), end, found[4].lower(), bool(found[3]), self.html[found.end() : end - 1]
+            at = found.start() + 1
+        open_comment = self.html.find("<!--", at)
+        return None if open_comment < 0 else (open_comment, len(self.html), "", False, "")
+
+
+class Open:
+    """The open elements, with the places of each name, so that the nearest of some names is found at once."""
+
+    def __init__(self, root: int):
+        self.nodes, self.names = [root], ["#root"]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: int, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def cut(self, depth: int) -> None:
+        for name in self.names[depth:]:
+            self.places[name].pop()
+        del self.nodes[depth:], self.names[depth:]
+
+    def nearest(self, names: set[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def inside(self, wanted: set[str], stop: set[str]) -> int:
+        """Depth of the nearest open element of these names, 0 where there is none or a barrier stands before it."""
+        depth = self.nearest(wanted)
+        return depth if depth and depth >= self.nearest(stop) else 0
+
+
 class Page:
     """Elements and text blocks of a page in page order; a node's parent comes before it."""
 
@@ -81,85 +158,69 @@ class Page:
         return len(self.tag) - 1
 
 
-def _tokens(attributes: str) -> tuple[list[str], bool]:
-    """Lower-case parts of class, id and role, and whether the element is hidden."""
-    tokens, hidden = [], False
-    for name, a, b, c in ATTRIBUTES.findall(attributes):
-        name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id", "role"):
-            tokens += re.findall(r"[a-z]+", value)
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            hidden = True
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            hidden = True
-    return tokens, hidden
+def _tokens(attributes: str) -> list[str]:
+    """Lower-case parts of class, id and role."""
+    return [t for value in ATTRIBUTES.findall(attributes) for t in re.findall(r"[a-z]+", "".join(value).lower())]
 
 
 def parse(html: str) -> Page:
-    """A page's blocks. Markup errors are mended the way browsers do in common cases; nothing is dropped but
-    raw and hidden elements."""
+    """A page's blocks. Markup errors are mended the way browsers do in common cases; nothing is dropped but the
+    content of elements that hold no text of the page, ``RAW``."""
     page = Page()
-    stack = [page.add("#root", -1, [])]
-    names = ["#root"]
+    stack = Open(page.add("#root", -1, []))
+    tags = Tags(html)
     pieces: list[str] = []
     links = 0
     linked = 0
-    skip = 0  # depth below which a hidden element's content is left out
+    closers: dict[str, re.Pattern] = {}
+    without_end: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
         text = SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
         pieces.clear()
-        if text and not skip:
-            page.add("#text", stack[-1], [], text, min(linked, len(text)))
+        if text:
+            page.add("#text", stack.nodes[-1], [], text, min(linked, len(text)))
         linked = 0
 
     def leave(depth: int) -> None:
-        nonlocal skip, links
+        nonlocal links
         flush()
-        del stack[depth:], names[depth:]
+        stack.cut(depth)
         links = 0
-        if skip and len(stack) <= skip:
-            skip = 0
-
-    def open_at(wanted: set[str], stop: set[str]) -> int:
-        for d in range(len(names) - 1, 0, -1):
-            if names[d] in wanted:
-                return d
-            if names[d] in stop:
-                return 0
-        return 0
 
     at = 0
     size = len(html)
     while at < size:
-        match = TOKEN.search(html, at)
-        if match is None:
+        tag = tags.next(at)
+        if tag is None:
             pieces.append(html[at:])
             break
-        if match.start() > at:
-            pieces.append(html[at : match.start()])
+        start, end, name, closing, attributes = tag
+        if start > at:
+            pieces.append(html[at:start])
             if links:
-                linked += match.start() - at
-        at = match.end()
-        name = match[2]
-        if name is None:
+                linked += start - at
+        at = end
+        if not name:
             continue
-        name = name.lower()
-        if match[1]:
+        if closing:
             if name == "a":
                 links = max(0, links - 1)
             if name in INLINE:
                 continue
-            d = open_at({name}, set())
+            d = stack.nearest({name})
             if d:
                 leave(d)
             elif name == "p":
                 flush()
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            at = end.end() if end else size
+            closer = closers.setdefault(name, re.compile(rf"</{re.escape(name)}\s*>", re.I))
+            found = None if name in without_end else closer.search(html, at)
+            if found is None:
+                without_end.add(name)
+            at = found.end() if found else size
             pieces.append(" ")
             continue
         if name == "a":
@@ -169,26 +230,22 @@ def parse(html: str) -> Page:
                 pieces.append(" ")
             continue
         if name in ("input", "button"):
-            page.inputs[stack[-1]] += 1
+            page.inputs[stack.nodes[-1]] += 1
         if name in VOID:
             if name == "hr":
                 flush()
             continue
-        d = open_at({"p"}, {"table", "button"})
+        d = stack.inside({"p"}, {"table", "button"})
         if d:
             leave(d)
         else:
             flush()
         if name in CLOSES:
-            d = open_at(CLOSES[name], BARRIER)
+            d = stack.inside(CLOSES[name], BARRIER)
             if d:
                 leave(d)
-        tokens, hidden = _tokens(match[3])
-        stack.append(page.add(name, stack[-1], tokens))
-        names.append(name)
+        stack.push(page.add(name, stack.nodes[-1], _tokens(attributes)), name)
         links = 0
-        if hidden and not skip:
-            skip = len(stack) - 1
     flush()
     return page
 
@@ -423,11 +480,14 @@ def training_set(articles: list[list[str]], seed: int = 11) -> tuple[np.ndarray,
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Trees | None:
     """Fit the trees on layouts made from the paragraphs of a bounded sample of pages, the first by hash.
 
-    Without labelled pages the labels come from construction: paragraphs of the sample are laid out anew with
+    At most ``sample_pages`` pages reach the driver. Without labelled pages the labels come from construction: paragraphs of the sample are laid out anew with
     navigation, notices, adverts, forms, sidebars, comments and footers around them.
     """
-    rows = pages.filter("html is not null").select("html", F.xxhash64("html").alias("_h"))
-    sample = [r.html for r in rows.orderBy("_h").limit(sample_pages).collect()]
+    rows = pages.filter("html is not null").select("html", F.xxhash64("html").alias("h"))
+    # The hashes alone find the last one of the sample; then only its pages are read, one of equal ones.
+    hashes = [r.h for r in rows.select("h").orderBy("h").limit(sample_pages).collect()]
+    chosen = rows.filter(F.col("h") <= (hashes[-1] if hashes else 0)).dropDuplicates(["h"])
+    sample = [r.html for r in sorted(chosen.collect(), key=lambda r: r.h)]
     articles = []
     for html in sample:
         page = parse(html)
@@ -443,8 +503,9 @@ def extract_main_text(pages: DataFrame, trees: Trees) -> DataFrame:
     """page_id, url and text of each row of ``pages`` (page_id, url, html).
 
     Character references are decoded, white space inside a block becomes one blank, blocks are joined by line
-    breaks in page order. Scripts, styles, comments in the markup and hidden elements are no text. A null or
-    empty page, or one without article, has an empty text. Whole pages are read, however long. Repeated rows
+    breaks in page order. Scripts, styles, templates, frames, choices and text fields of forms and comments in the
+    markup are no text; the trees judge everything else. A null or empty page, or one without article, has an empty
+    text. Whole pages are read, however long, in time that goes with their length. Repeated rows
     are treated one by one; an empty table gives no rows; other columns are ignored.
     """
     load = shared_object(pages.sparkSession, trees)
