@@ -22,6 +22,7 @@ WINDOW = 20
 GRAM = 10  # words of an anchor; each window has one, chosen by its content alone
 PART_CHARS = 4_000_000  # characters of text per part of the fingerprint space
 HELD = 1 << 19  # fingerprints collected before they are packed, or merged
+TASKS = 8192  # shuffle partitions at most; a task works off its parts one after another
 
 
 def window_anchors(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,24 +68,25 @@ def _repeated(packed: DataFrame, parts: int, with_first: bool) -> DataFrame:
     """(doc_id, pos) of places whose fingerprint occurs at several places: all, or all but the first.
 
     A task merges what comes in with the fingerprints of its part and returns repeated places at once, so it
-    holds distinct fingerprints only, however often one of them occurs.
+    holds the distinct fingerprints of one part only, however often one of them occurs and however many parts it has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
         none = np.empty(0, np.int64)
-        state = [np.empty(0, np.uint64), np.empty(0, np.int32), none, none, np.empty(0, bool)]
+        nothing = [np.empty(0, np.uint64), none, none, np.empty(0, bool)]
+        state, now = nothing, None
         coming: list[list[np.ndarray]] = []
         held = 0
 
         def merge() -> pa.RecordBatch:
             nonlocal state, held
-            hashes, part, docs, places, told = (np.concatenate([s, *c]) for s, c in zip(state, zip(*coming, strict=True), strict=True))
+            hashes, docs, places, told = (np.concatenate([s, *c]) for s, c in zip(state, zip(*coming, strict=True), strict=True))
             coming.clear()
             held = 0
-            order = np.lexsort((~told, places, docs, hashes, part))
-            hashes, part, docs, places, told = hashes[order], part[order], docs[order], places[order], told[order]
-            head = np.r_[True, (hashes[1:] != hashes[:-1]) | (part[1:] != part[:-1])]
+            order = np.lexsort((~told, places, docs, hashes))
+            hashes, docs, places, told = hashes[order], docs[order], places[order], told[order]
+            head = np.r_[True, hashes[1:] != hashes[:-1]]
             twin = np.r_[False, ~head[1:] & (docs[1:] == docs[:-1]) & (places[1:] == places[:-1])]
             later = ~head & ~twin
             group = np.cumsum(head) - 1
@@ -94,23 +96,28 @@ def _repeated(packed: DataFrame, parts: int, with_first: bool) -> DataFrame:
                 out |= head & several[group] & ~told
             told = told | (head & several[group]) if with_first else told
             rows = [pa.array(docs[out]), pa.array(places[out].astype(np.int32))]
-            state = [x[head] for x in (hashes, part, docs, places, told)]
+            state = [x[head] for x in (hashes, docs, places, told)]
             return pa.RecordBatch.from_arrays(rows, names=["doc_id", "pos"])
 
         for batch in batches:
             for part, hashes, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if part != now:
+                    if coming:
+                        yield merge()
+                    state, now = nothing, part
                 h = np.frombuffer(hashes, np.uint64)
                 raw = open_.decompress(body)
                 docs = np.cumsum(np.frombuffer(raw[: 8 * len(h)], np.int64))
                 places = np.cumsum(np.frombuffer(raw[8 * len(h) :], np.int32).astype(np.int64))
-                coming.append([h, np.full(len(h), part, np.int32), docs, places, np.zeros(len(h), bool)])
+                coming.append([h, docs, places, np.zeros(len(h), bool)])
                 held += len(h)
                 if held > max(HELD, len(state[0]) // 2):
                     yield merge()
         if coming:
             yield merge()
 
-    return packed.repartition(parts, "part").mapInArrow(run, "doc_id long, pos int")
+    dealt = packed.repartition(min(parts, TASKS), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "doc_id long, pos int")
 
 
 def _packed_anchors(docs: DataFrame, parts: int, window: int, gram: int) -> DataFrame:
