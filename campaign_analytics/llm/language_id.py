@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_object
+from ..operators.joins import join_measured
+from .common import cut, shared_object
 from .words import _powers, mix64, text_bytes
 
 ORDER = 4
@@ -296,10 +297,11 @@ def train(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, total_chars: in
     """
     rows = labelled.filter("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).filter("chars > 0")
+    sizes = cut(sizes)
     each = min(sample_chars, total_chars / max(1, sizes.count()))
     at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
     share = F.least(F.lit(1.0), F.lit(float(each)) / F.col("chars"))
-    sample = rows.join(sizes, "lang").filter(at < share)
+    sample = join_measured(rows, sizes, "lang").filter(at < share)
     check = F.pmod(F.xxhash64("text", "doc_id"), F.lit(CALIBRATION)) == 0
     found = _count_grams(sample.filter(~check)).toArrow()
     if found.num_rows == 0:
