@@ -44,7 +44,7 @@ def mark_shared(talents: DataFrame) -> DataFrame:
     """Add ``shared``: whether the row's user has several talents or regions, or one of their talents several users.
 
     Talents without a user count as sharing one. Where nobody shares, which is looked up here, there is no such
-    column, and plans for shared users are not made.
+    column, and plans for shared users are not made. Where somebody does, the flagged talents are written once.
     """
     if "shared" in talents.columns:
         return talents
@@ -61,7 +61,7 @@ def mark_shared(talents: DataFrame) -> DataFrame:
     found = users.unionByName(pairs.join(owners, TALENT, "left_semi").select("user_uuid")).distinct()
     flagged = found.select(F.col("user_uuid").alias("_user"), F.lit(True).alias("_shared"))
     joined = talents.join(flagged, F.col("user_uuid").eqNullSafe(F.col("_user")), "left").drop("_user")
-    return joined.withColumn("shared", F.col("_shared").isNotNull()).drop("_shared")
+    return materialize(joined.withColumn("shared", F.col("_shared").isNotNull()).drop("_shared"), "flagged-talents")
 
 
 def _names(categories: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def _preferences(
     rows = activity_jobs(marked, reduce(DataFrame.unionByName, facts), jobs, categories, "stamp", as_of, ("kind", "order_key"))
     if "shared" not in marked.columns:
         return _by_tail(rows)
-    return _by_tail(rows.where("NOT shared")).unionByName(_by_rank(rows.where("shared")))
+    return _by_tail(rows.where("NOT shared")).unionByName(materialize(_by_rank(rows.where("shared")), "shared-preferences"))
 
 
 def _by_tail(rows: DataFrame) -> DataFrame:
@@ -196,11 +196,13 @@ def _by_tail(rows: DataFrame) -> DataFrame:
 def _by_rank(rows: DataFrame) -> DataFrame:
     """The same from the rank of every row in its user and the row count of its talent.
 
-    Rows that agree in all that matters are counted first, so that ranks run over counts.
+    Rows that agree in all that matters are counted first, so that ranks run over counts. The counts and the ranks
+    are each used several times and therefore written.
     """
     job = [TALENT, "kind", "job_category_name", "matched_tag"]
     of_talent = Window.partitionBy(TALENT, "kind")
     counted = rows.groupBy(*job, "user_uuid", "order_key").agg(F.count("*").alias("n"), F.max("stamp").alias("stamp"))
+    counted = materialize(counted, "shared-activity")
     per_job = (
         counted.groupBy(*job)
         .agg(F.sum("n").alias("group_cnt"), F.max("stamp").alias("s"))
@@ -213,7 +215,7 @@ def _by_rank(rows: DataFrame) -> DataFrame:
         )
     )
     ranked = spread_rank(counted, ["user_uuid", "kind"], "order_key", "n")
-    listed = ranked.select(*job, "user_uuid", "rnk").distinct()
+    listed = materialize(ranked.select(*job, "user_uuid", "rnk").distinct(), "shared-ranks")
     single = listed.groupBy(TALENT, "kind").agg(F.count("*").alias("left")).where("left = 1")
     single = single.select(TALENT, "kind", F.lit(1).alias("single"))
     marker = last_rank_marker(F.col("cnt"), F.col("rnk"), F.col("job_category_name"))
@@ -357,6 +359,7 @@ def _with_offer(talents: DataFrame, best: DataFrame) -> DataFrame:
         return alone
     sharing = talents.where("shared")
     offers = _offers(sharing, best).select(TALENT, F.col("job_category_name").alias("offered")).distinct()
+    offers = materialize(offers, "shared-offers")
     return alone.select(*talents.columns, "offered").unionByName(sharing.join(offers, TALENT, "left"))
 
 

@@ -50,8 +50,9 @@ def test_windows_of_the_default_path_see_no_facts(spark):
         assert plan.rindex("Window [") < plan.index("partial_count(1)")
 
 
-def test_recommendation_reads_and_shuffles_little(spark):
-    plan = plan_of(QUERIES["recommend_category"](spark, "/root/testdata/sf0.01"))
+@pytest.mark.parametrize("key", ["recommend_category", "recommend_category_shared_users"])
+def test_recommendation_reads_and_shuffles_little(spark, key):
+    plan = plan_of(QUERIES[key](spark, "/root/testdata/sf0.01"))
     assert plan.count("FileScan") <= 20
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 12
 
@@ -66,6 +67,28 @@ def test_talents_are_not_gathered_by_region(spark):
     assert "BroadcastHashJoin" in plan
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("key", ["bonus_program", "review_decisions", "first_touch", "latest_attributes", "job_view"])
+def test_no_row_is_carried_through_a_sorted_aggregate(spark, no_broadcasts, key):
+    assert "SortAggregate" not in plan_of(QUERIES[key](spark, SF_DIR))
+
+
+def test_descriptions_are_shuffled_once(spark, no_broadcasts):
+    """Jobs are found by id and number alone; the text moves in one exchange, and generic requests meet no job."""
+    plan = plan_of(QUERIES["job_view"](spark, SF_DIR))
+    exchanges = re.split(r"Exchange hashpartitioning", plan)[1:]
+    # What an exchange reads stands right below it; the text is made from the title's columns in a projection.
+    carrying = [e for e in exchanges if "<p>Job" in e.split("Exchange")[0].split("FileScan")[0]]
+    assert len(carrying) == 1
+    assert plan.count("Join ") <= 2
+
+
 def test_group_assignment_moves_no_rows(spark):
     assert "Exchange" not in plan_of(QUERIES["assign_groups"](spark, SF_DIR))
 
