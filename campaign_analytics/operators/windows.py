@@ -50,19 +50,23 @@ def qualify(df: DataFrame, condition: Column) -> DataFrame:
     return df.where(F.coalesce(condition, F.lit(False)))
 
 
-def top1_ties(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """Rows holding the greatest ``col`` of their key, all ties kept.
+def top1_ties(df: DataFrame, keys: list[str], order: str | list[str], nulls_first: bool = False) -> DataFrame:
+    """Rows that come first in their key by descending ``order``, one column after the other, all ties kept.
 
-    The maximum comes from a map-side combined aggregate that is joined back, so no key has to
-    fit into one task.
+    Rows whose first order column is null are left out, or with ``nulls_first`` come before all others. The maximum
+    comes from a map-side combined aggregate that is joined back, so no key has to fit into one task.
     """
-    best = df.groupBy(*keys).agg(F.max(col).alias("_best"))
+    columns = [order] if isinstance(order, str) else order
+    rows = df.withColumn("_value", F.struct(*columns) if len(columns) > 1 else F.col(columns[0]))
+    if nulls_first:  # a flag before the value: true sorts above false
+        rest = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"c{i}") for i, c in enumerate(columns)])
+        rows = rows.withColumn("_value", rest)
+    else:
+        rows = rows.where(F.col(columns[0]).isNotNull())
+    best = rows.groupBy(*keys).agg(F.max("_value").alias("_best"))
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    return (
-        df.alias("l")
-        .join(best.alias("r"), [*same, F.col(f"l.{col}") == F.col("r._best")], "left_semi")
-        .select("l.*")
-    )
+    first = F.col("l._value").eqNullSafe(F.col("r._best"))
+    return rows.alias("l").join(best.alias("r"), [*same, first], "left_semi").select("l.*").drop("_value")
 
 
 def first_over(df: DataFrame, keys: list[str], value: str | Column, order: list[str], out: str | None = None) -> DataFrame:

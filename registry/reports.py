@@ -218,6 +218,16 @@ def top1_ties(spark, d):
     return windows.top1_ties(orders, ["o_custkey"], "total")
 
 
+def top1_ties_nulls_first(spark, d):
+    """Each customer's first order by total, unknown totals before known ones, then by day."""
+    orders = read(spark, d, "orders").select(
+        "o_custkey",
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.round("o_totalprice", -5)).alias("total"),
+    )
+    return windows.top1_ties(orders, ["o_custkey"], ["total", "month"], nulls_first=True)
+
+
 def union_batches(spark, d):
     """Two pulls of one table put together again, with a set of the values seen."""
     costs = report_tables(spark, d)["channel_cost"]
@@ -253,6 +263,7 @@ QUERIES = {
     "report_table": report_table,
     "top_spend_days": top_spend_days,
     "top1_ties": top1_ties,
+    "top1_ties_nulls_first": top1_ties_nulls_first,
     "union_batches": union_batches,
 }
 
@@ -392,6 +403,10 @@ ORACLE = {
         sum(impressions) AS b2b_paid_impr, sum(clicks) AS b2b_paid_clicks FROM channel_cost GROUP BY date_dt
         ORDER BY sum(ad_cost) DESC, date_dt LIMIT 5"""
     ),
+    "top1_ties_nulls_first": """SELECT o_custkey, month, total FROM (
+        SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY total DESC NULLS FIRST, month DESC NULLS FIRST) AS place
+        FROM (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month,
+                     CASE WHEN o_orderkey % 7 <> 0 THEN round(o_totalprice, -5) END AS total FROM orders)) WHERE place = 1""",
     "top1_ties": """SELECT o_custkey, o_orderpriority, total FROM (
     SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY total DESC) AS place
     FROM (SELECT o_custkey, o_orderpriority, round(o_totalprice, -4) AS total FROM orders)) WHERE place = 1""",
