@@ -22,55 +22,49 @@ DIGITS = {
 }
 
 
-def _number(value: int, digits: int = 20) -> Column:
-    return F.lit(str(value)).cast(f"decimal({digits},0)")
-
-
-def _counted(name: str, kind: T.DataType, descending: bool) -> Column:
-    """A value as a whole number from 1 on; null is zero either way, and so comes first."""
-    col, most = F.col(name), 10 ** DIGITS[type(kind)] - 1
+def _counted(name: str, kind: T.DataType, descending: bool) -> str:
+    """SQL of a value as a whole number from 1 on; null is zero either way, and so comes first."""
+    col, most = "`" + name.replace("`", "``") + "`", 10 ** DIGITS[type(kind)] - 1
     if isinstance(kind, T.LongType):
-        sign = -col.cast("decimal(20,0)") if descending else col.cast("decimal(20,0)")
-        return F.coalesce((sign + _number(2**63 + 1)).cast("decimal(20,0)"), _number(0))
+        sign = "-" if descending else ""
+        return f"coalesce(CAST({sign}CAST({col} AS DECIMAL(20,0)) + {2**63 + 1}BD AS DECIMAL(20,0)), 0BD)"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         # By its calendar fields, since a time stamp without zone has no instant; 18 digits reach beyond year 9999.
-        seconds = (F.hour(col) * 3600 + F.minute(col) * 60).cast("long")
-        micros = (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")
-        value = _days(col.cast("date")) * 86_400_000_000 + seconds * 1_000_000 + micros + 1
+        seconds = f"(hour({col}) * 3600 + minute({col}) * 60) * 1000000L"
+        value = f"{_days(f'CAST({col} AS DATE)')} * 86400000000L + {seconds} + CAST(extract(SECOND FROM {col}) * 1000000 AS BIGINT) + 1L"
     elif isinstance(kind, T.DateType):
-        value = _days(col) + 1
+        value = f"{_days(col)} + 1L"
     else:
-        value = col.cast("long") + 2**31 + 1
-    return F.coalesce(F.lit(most) - value if descending else value, F.lit(0))
+        value = f"CAST({col} AS BIGINT) + {2**31 + 1}L"
+    return f"coalesce({f'{most}L - ({value})' if descending else value}, 0L)"
 
 
-def _days(date: Column) -> Column:
-    return F.date_diff(date, F.lit("0001-01-01").cast("date")).cast("long")
+def _days(date: str) -> str:
+    return f"CAST(datediff({date}, DATE'0001-01-01') AS BIGINT)"
 
 
 def order_key(df: DataFrame, *columns: str) -> Column:
     """One decimal that sorts as ``columns`` do, one after the other; ``-name`` sorts that one descending.
 
     Nulls come first either way. Columns are whole numbers, dates and time stamps from year 1 on, and must fit 38
-    digits together: a time stamp and a long do, two longs do not.
+    digits together: a time stamp and a long do, two longs do not. The key is one SQL expression, as a plan with
+    many small calls takes long to build.
     """
-    total: Column | None = None
-    used = 0
+    schema, total, used = df.schema, "", 0
     for spec in columns:
         name = spec.removeprefix("-")
-        kind = df.schema[name].dataType
+        kind = schema[name].dataType
         if type(kind) not in DIGITS:
             raise ValueError(f"no order key over {name}: {kind.simpleString()}")
         digits = DIGITS[type(kind)]
         used += digits
         value = _counted(name, kind, spec != name)
-        if total is None:
-            total = value
-        else:
-            total = (total.cast("decimal(38,0)") * _number(10**digits, digits + 1)).cast("decimal(38,0)") + value.cast("decimal(20,0)")
-    if total is None or used > 38:
+        if total:
+            value = f"CAST(CAST({total} AS DECIMAL(38,0)) * {10**digits}BD AS DECIMAL(38,0)) + CAST({value} AS DECIMAL(20,0))"
+        total = value
+    if not total or used > 38:
         raise ValueError(f"order columns need {used} digits, 38 fit")
-    return total.cast("decimal(38,0)")
+    return F.expr(f"CAST({total} AS DECIMAL(38,0))")
 
 
 def order_value(df: DataFrame, *columns: str) -> Column:
@@ -90,6 +84,11 @@ def latest_rows(df: DataFrame, keys: list[str], order: list[str], first: bool =
     winning row joined back. Long rows are therefore shuffled once, and never sorted by an aggregate. Null keys
     form a key of their own.
     """
+    return winning_rows(df, keys, order, first).distinct()
+
+
+def winning_rows(df: DataFrame, keys: list[str], order: list[str], first: bool = False) -> DataFrame:
+    """As ``latest_rows``, but a winning row that the input repeats is repeated."""
     rest = [c for c in df.columns if c not in keys]
     best = F.min if first else F.max
     pick = F.min_by if first else F.max_by
@@ -98,5 +97,4 @@ def latest_rows(df: DataFrame, keys: list[str], order: list[str], first: bool =
     won = won.withColumnsRenamed({k: f"_won_{i}" for i, k in enumerate(keys)})
     same = [F.col(k).eqNullSafe(F.col(f"_won_{i}")) for i, k in enumerate(keys)]
     back = marked.join(won, [*same, F.col("_order") == F.col("_won"), F.col("_row") == F.col("_won_row")])
-    return back.select(*df.columns).distinct()
-
+    return back.select(*df.columns)

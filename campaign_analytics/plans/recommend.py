@@ -40,24 +40,34 @@ def talent_list(eligibility: DataFrame, talents: DataFrame, as_of: str) -> DataF
     ).distinct()
 
 
+def stored_talent_list(eligibility: DataFrame, talents: DataFrame, as_of: str) -> DataFrame:
+    """``talent_list`` as a table, for plans that use it more than once."""
+    return materialize(talent_list(eligibility, talents, as_of), "talents")
+
+
 def mark_shared(talents: DataFrame) -> DataFrame:
     """Add ``shared``: whether the row's user has several talents or regions, or one of their talents several users.
 
-    Talents without a user count as sharing one. Where nobody shares, which is looked up here, there is no such
-    column, and plans for shared users are not made. Where somebody does, the flagged talents are written once.
+    Talents without a user but with a region count as sharing one. Where nobody shares, which one count looks up here,
+    there is no such column, and plans for shared users are not made. Where somebody does, the flagged talents are
+    written once.
     """
     if "shared" in talents.columns:
         return talents
+    pairs = talents.select(TALENT, "user_uuid", "matching_region_name")
+    pairs = pairs.where("user_uuid IS NOT NULL OR matching_region_name IS NOT NULL").distinct()
+    # Every talent, user and region stand together once only if each talent and each user does.
+    user = F.struct("user_uuid")
+    n = pairs.agg(F.count("*").alias("all"), F.count_distinct(TALENT).alias("talents"), F.count_distinct(user).alias("users")).first()
+    if n["all"] == n.talents == n.users:
+        return talents
 
     def several(col: str) -> Column:
         return F.min(col) < F.max(col)
 
-    pairs = talents.select(TALENT, "user_uuid", "matching_region_name")
     by_user = several(TALENT) | several("matching_region_name")
     users = pairs.groupBy("user_uuid").agg(by_user.alias("several")).where("several").select("user_uuid")
     owners = pairs.groupBy(TALENT).agg(several("user_uuid").alias("several")).where("several").select(TALENT)
-    if users.select(F.lit(1)).limit(1).unionAll(owners.select(F.lit(1)).limit(1)).isEmpty():
-        return talents
     found = users.unionByName(pairs.join(owners, TALENT, "left_semi").select("user_uuid")).distinct()
     flagged = found.select(F.col("user_uuid").alias("_user"), F.lit(True).alias("_shared"))
     joined = talents.join(flagged, F.col("user_uuid").eqNullSafe(F.col("_user")), "left").drop("_user")
@@ -391,7 +401,7 @@ def recommend_category(
     Applications and views share their joins, and evidence of all kinds meets in one union that keeps the strongest.
     """
     jobs, categories = tables["fact_job"], tables["dim_job_category"]
-    listed = materialize(talent_list(tables["talent_eligibility"], tables["dim_talent"], as_of), "talents")
+    listed = stored_talent_list(tables["talent_eligibility"], tables["dim_talent"], as_of)
     talents = mark_shared(listed)
     facts = [applied_facts(tables["job_apply_core"]), seen_facts(tables["job_details_seen"])]
     evidence = best_evidence(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rating_event, rating_of, trim_len_ok, trimmed
-from ..operators.ordering import latest_rows
+from ..operators.ordering import latest_rows, winning_rows
 
 
 def nps_bucket(score: Column) -> Column:
@@ -49,10 +49,12 @@ def merge_submissions(parts: DataFrame, keys: tuple[str, ...] = ("uuid", "timest
     return parts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in fields])
 
 
+WRITE = ["user_id", "ts", "seq", "attribute", "value"]
+
+
 def last_writes(attributes: DataFrame) -> DataFrame:
     """Last value of every user and attribute, in the same long form as the input."""
-    columns = ["user_id", "ts", "seq", "attribute", "value"]
-    return latest_rows(attributes.select(*columns), ["user_id", "attribute"], ["ts", "seq"])
+    return latest_rows(attributes.select(*WRITE), ["user_id", "attribute"], ["ts", "seq"])
 
 
 def latest_attributes(attributes: DataFrame, names: list[str]) -> DataFrame:
@@ -60,8 +62,9 @@ def latest_attributes(attributes: DataFrame, names: list[str]) -> DataFrame:
 
     The last writes are found by their order alone; a user's values, one per name, then make a map.
     """
-    last = last_writes(attributes.where(F.col("attribute").isin(names)))
-    known = F.map_from_entries(F.collect_list(F.struct("attribute", "value")))
+    wanted = attributes.where(F.col("attribute").isin(names)).select(*WRITE)
+    last = winning_rows(wanted, ["user_id", "attribute"], ["ts", "seq"])
+    known = F.map_from_entries(F.collect_set(F.struct("attribute", "value")))  # a set: writes may be repeated
     users = last.groupBy("user_id").agg(known.alias("_known"))
     return users.select("user_id", *[F.element_at("_known", F.lit(n)).alias(n) for n in names])
 

@@ -11,14 +11,14 @@ from .tables import AS_OF, SHIFT_AS_OF, day_text, recommend_tables, ts_text, wit
 RUN_TS = "2024-01-31 12:00:00"
 
 
-def _talents(t):
-    return plan.talent_list(t["talent_eligibility"], t["dim_talent"], AS_OF)
+def _talents(t, listed=plan.talent_list):
+    return listed(t["talent_eligibility"], t["dim_talent"], AS_OF)
 
 
-def _revenue(t, parity=True):
+def _revenue(t, parity=True, talents=None):
     return plan.unfulfilled_revenue(
-        t["fact_shift"], t["fact_job"], t["dim_job_category"], t["dim_business_region"], _talents(t), SHIFT_AS_OF,
-        parity=parity,
+        t["fact_shift"], t["fact_job"], t["dim_job_category"], t["dim_business_region"],
+        _talents(t) if talents is None else talents, SHIFT_AS_OF, parity=parity,
     )
 
 
@@ -31,8 +31,12 @@ def unfulfilled_revenue_once(spark, d):
 
 
 def eligible_preference(spark, d):
-    t = recommend_tables(spark, d)
-    return plan.eligible_preference(_talents(t), _revenue(t))
+    return _eligible(recommend_tables(spark, d))
+
+
+def _eligible(t):
+    talents = _talents(t, plan.stored_talent_list)
+    return plan.eligible_preference(talents, _revenue(t, talents=talents))
 
 
 def worked_category(spark, d):
@@ -48,7 +52,7 @@ def _preference(kind, ranked=False):
             "applied": (plan.applied_preference, "job_apply_core"),
             "seen": (plan.seen_preference, "job_details_seen"),
         }[kind]
-        talents = _talents(t)
+        talents = _talents(t, plan.stored_talent_list)
         if ranked:  # as if every user were shared: all rows are ranked
             talents = talents.withColumn("shared", F.lit(True))
         out = fn(talents, t[table], t["fact_job"], t["dim_job_category"], AS_OF)
@@ -70,8 +74,7 @@ def recommend_category_shared_users(spark, d):
 
 
 def eligible_preference_shared_users(spark, d):
-    t = _shared_tables(spark, d)
-    return plan.eligible_preference(_talents(t), _revenue(t))
+    return _eligible(_shared_tables(spark, d))
 
 
 def recommend_category(spark, d):
