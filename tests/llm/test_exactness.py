@@ -307,3 +307,36 @@ def test_stages_with_odd_rows(spark, stored, tmp_path):
     mixed = run("mixing", docs)
     assert {x for x in mixed} <= set(texts)
     assert mixed.count((6, long)) <= 3
+
+
+def test_recall_of_documents_at_the_threshold(stored):
+    """Five hundred pairs with exactly 80 of 100 shingles in common, and as many with 79 of 101."""
+    rows, n, k = [], 500, 0
+    for shared in (80, 79):
+        for _ in range(n):
+            base = [f"w{k}x{i}" for i in range(91)]
+            rows.append((2 * k, " ".join(base)))
+            rows.append((2 * k + 1, " ".join(base[: shared + 1] + [f"v{k}x{i}" for i in range(90 - shared)])))
+            k += 1
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(stored(rows, "doc_id long, text string"), 2).collect()}
+    found = [got[2 * i + 1] == 2 * i for i in range(2 * n)]
+    assert sum(found[:n]) == n and not any(found[n:])
+
+
+def test_recall_of_vectors_at_the_threshold(stored):
+    """Two thousand pairs with a cosine just above 0.9, among as many strangers."""
+    rng = np.random.default_rng(12)
+    n, dim = 2000, 64
+    a = rng.standard_normal((n, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    side = rng.standard_normal((n, dim))
+    side -= (side * a).sum(1)[:, None] * a
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cosine = 0.9 + 1e-6
+    b = cosine * a + math.sqrt(1 - cosine * cosine) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b, rng.standard_normal((n, dim))]))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(stored(rows, "vec_id long, embedding array<double>")).collect()}
+    found = sum(got[n + i] == (1, i) for i in range(n))
+    print("vectors found", found, "of", n)
+    assert found >= 0.995 * n
+    assert all(got[2 * n + i][0] == 0 for i in range(n))
