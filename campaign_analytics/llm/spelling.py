@@ -186,13 +186,15 @@ class _Spelled:
         self.words = words
         self.lengths = np.array([len(w) for w in words], np.int64)
         short = [w if len(w) <= WIDE else "" for w in words]
+        self.width = max(map(len, short), default=0)
         self.left = self._matrix(short)
         self.right = self._matrix([w[::-1] for w in short])
 
     @staticmethod
     def _matrix(words: list[str]) -> np.ndarray:
         wide = np.array(words, f"<U{WIDE}") if words else np.empty(0, f"<U{WIDE}")
-        return wide.view(np.uint32).reshape(len(words), WIDE)
+        points = wide.view(np.uint32).reshape(len(words), WIDE)
+        return points if points.size and points.max() > 255 else points.astype(np.uint8)
 
     def near(self, mine: np.ndarray, other: _Spelled, theirs: np.ndarray) -> np.ndarray:
         """Whether the words of each pair differ by exactly one letter."""
@@ -205,11 +207,14 @@ class _Spelled:
         x, y = mine[short], theirs[short]
         shared = np.zeros(len(short), np.int64)
         least, most = np.minimum(a, b)[short], np.maximum(a, b)[short]
+        width = max(self.width, other.width, 1)
+        same = np.zeros(len(short), bool)
         for one, two in ((self.left, other.left), (self.right, other.right)):
-            differs = one[x] != two[y]
-            run = np.where(differs.any(axis=1), differs.argmax(axis=1), WIDE)
-            shared += np.minimum(run, least)
-        out[short] = (shared >= most - 1) & ((self.left[x] != other.left[y]).any(axis=1))
+            differs = one[:, :width][x] != two[:, :width][y]
+            first = differs.argmax(axis=1)
+            same = ~differs[np.arange(len(short)), first]  # nothing differs
+            shared += np.where(same, least, np.minimum(first, least))
+        out[short] = (shared >= most - 1) & ~same
         return out
 
 
