@@ -11,6 +11,7 @@ the two apart by the data; nothing has to be declared.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -350,7 +351,10 @@ def eligible_preference(talents: DataFrame, revenue: DataFrame) -> DataFrame:
     Only a region's best categories can be a user's best ones, so every region is cut down to those before it meets
     its talents, which stay where they are.
     """
-    return _offers(mark_shared(talents), _best_of_region(revenue)).select(
+    with ThreadPoolExecutor(1) as aside:  # two jobs that do not need each other
+        best = aside.submit(_best_of_region, revenue)
+        offers = _offers(mark_shared(talents), best.result())
+    return offers.select(
         TALENT,
         "user_uuid",
         "employment_city",
@@ -402,12 +406,6 @@ def recommend_category(
     """
     jobs, categories = tables["fact_job"], tables["dim_job_category"]
     listed = stored_talent_list(tables["talent_eligibility"], tables["dim_talent"], as_of)
-    talents = mark_shared(listed)
-    facts = [applied_facts(tables["job_apply_core"]), seen_facts(tables["job_details_seen"])]
-    evidence = best_evidence(
-        _preferences(talents, facts, jobs, categories, as_of),
-        worked_category(talents, tables["fact_shift"], jobs, categories),
-    )
     revenue = unfulfilled_revenue(
         tables["fact_shift"],
         jobs,
@@ -417,7 +415,16 @@ def recommend_category(
         shift_as_of or as_of,
         parity=parity,
     )
-    return _with_offer(talents, _best_of_region(revenue)).join(evidence, TALENT, "left").select(
+    facts = [applied_facts(tables["job_apply_core"]), seen_facts(tables["job_details_seen"])]
+    with ThreadPoolExecutor(1) as aside:  # the regions' best categories are found while the talents' evidence is prepared
+        best = aside.submit(_best_of_region, revenue)
+        talents = mark_shared(listed)
+        evidence = best_evidence(
+            _preferences(talents, facts, jobs, categories, as_of),
+            worked_category(talents, tables["fact_shift"], jobs, categories),
+        )
+        offers = _with_offer(talents, best.result())
+    return offers.join(evidence, TALENT, "left").select(
         F.col(TALENT).alias("talent_id"),
         "user_uuid",
         "matching_region_name",
