@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .xml_rows import read_xml_rows
+
 # Field names of a posted job, and the feed column each one fills.
 POSTED_FIELDS = {
     "referenceNumber": "referencenumber",
@@ -79,7 +81,7 @@ def read_job_xml(spark: SparkSession, path: str, board: str) -> DataFrame:
     listings are flat.
     """
     row_tag, schema = LISTING_SCHEMAS[board]
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    rows = read_xml_rows(spark, path, row_tag, schema)
     if board == "stepstone":
         details = "jobdetails"
         return rows.select(
