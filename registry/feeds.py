@@ -100,6 +100,11 @@ def job_intake_files(spark, d):
     return job_source.read_job_events(spark, path)
 
 
+def _parts(spark, d):
+    """Parts spread over tasks however they are stored: each becomes a listing of many times its size."""
+    return read(spark, d, "part").hint("rebalance")
+
+
 def _listings(spark, d):
     """Parts as board listings in XML with nested locations."""
     path = shared_dir(spark, "listings")
@@ -110,7 +115,7 @@ def _listings(spark, d):
         F.struct(location.alias("location")).alias("joblocations"),
         *[F.concat(F.lit(f"<div>{s} "), key, F.lit("</div>")).alias(s) for s in job_source.SECTIONS],
     )
-    rows = read(spark, d, "part").select(F.concat(F.lit("P"), key).alias("_reference_id"), details.alias("jobdetails"))
+    rows = _parts(spark, d).select(F.concat(F.lit("P"), key).alias("_reference_id"), details.alias("jobdetails"))
     rows.write.mode("overwrite").format("xml").option("rootTag", "joblistings").option("rowTag", "joblisting").save(path)
     return path
 
@@ -125,7 +130,7 @@ def job_description(language):
 
 def job_listing_flat(spark, d):
     path = shared_dir(spark, "flat")
-    read(spark, d, "part").select(
+    _parts(spark, d).select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("_id"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("region"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from campaign_analytics.sources import jobs
 from campaign_analytics.sources.xml_rows import _irregular_files, _pieces
+from registry import feeds
 
 TAG, SCHEMA = jobs.LISTING_SCHEMAS["jobsora"]
 FIELDS = "<name>N{0}</name><region>Ulm</region><jobtype>x</jobtype><salary>13</salary><description>D</description>"
@@ -118,3 +119,20 @@ def test_one_broken_file_leaves_the_others_to_many_tasks(spark, tmp_path):
         assert _rows(read) == _rows(_flat(_plain(spark, str(tmp_path))))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_listings_are_written_by_many_tasks(spark, tmp_path):
+    """The part table lies in one row group; its listings are many times as large."""
+    parts = spark.range(500).select(
+        F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"),
+        F.lit(1).alias("p_size"), F.lit(1.0).alias("p_retailprice"),
+    )
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = feeds._listings(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    assert len(files) > 1 and max(f.length for f in files) < sum(f.length for f in files)
+    assert jobs.read_job_xml(spark, path, "stepstone").count() == 500
